@@ -69,10 +69,12 @@ def interval_join(
     lo: str,
     hi: str,
     width: float,
+    hi_inclusive: bool = True,
 ) -> DataFrame:
     """Inner join: every (point, range) pair with equal keys and
-    ``lo <= point <= hi`` (both ends inclusive). ``width`` is the bucket width
-    in seconds for timestamp axes, in units otherwise."""
+    ``lo <= point <= hi`` (``lo <= point < hi`` with ``hi_inclusive=False``).
+    ``width`` is the bucket width in seconds for timestamp axes, in units
+    otherwise."""
     _check(points, ranges, keys)
     p = bucketed_points(points, point, width).alias("p")
     r = bucketed_ranges(ranges, lo, hi, width).alias("r")
@@ -80,7 +82,7 @@ def interval_join(
     cond += [
         F.col(f"p.{_BUCKET}") == F.col(f"r.{_BUCKET}"),
         F.col(f"p.{point}") >= F.col(f"r.{lo}"),
-        F.col(f"p.{point}") <= F.col(f"r.{hi}"),
+        (F.col(f"p.{point}") <= F.col(f"r.{hi}")) if hi_inclusive else (F.col(f"p.{point}") < F.col(f"r.{hi}")),
     ]
     out = [F.col(f"p.{k}").alias(k) for k in keys]
     out += [F.col(f"p.`{c}`") for c in points.columns if c not in keys]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from raceline import oracle
-from raceline.plans import examples, intermediate, marts, staging
+from raceline.plans import examples, ingest_views, intermediate, marts, staging
 from raceline.sources.fixtures import raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ def _over_raw(fn) -> Query:
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _over_raw(fn) for name, fn in MODEL_FUNCTIONS.items()}
+    out.update({name: ingest_views.view_query(name) for name in ingest_views.VIEWS})
     return out
 
 
