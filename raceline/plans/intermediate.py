@@ -58,15 +58,21 @@ def int_final_position(raw: Raw) -> DataFrame:
     )
 
 
-def int_lap_position(raw: Raw) -> DataFrame:
-    """Position samples inside each lap (inclusive bounds), with distances to
-    both lap ends and the nearest-sample ranks."""
+def lap_position_samples(raw: Raw) -> DataFrame:
+    """Position samples inside each lap (inclusive bounds) with the absolute
+    distance in seconds to both lap ends."""
     positions = stg.stg_position(raw)
     laps = stg.stg_laps(raw).select(*PAIR, "lap_number", "date_start", "date_end")
     inside = interval_join(positions, laps, PAIR, "date", "date_start", "date_end", LAP_BUCKET_SECONDS)
-    inside = inside.withColumn("start_time_diff", F.abs(epoch_seconds_between("date", "date_start"))).withColumn(
+    return inside.withColumn("start_time_diff", F.abs(epoch_seconds_between("date", "date_start"))).withColumn(
         "end_time_diff", F.abs(epoch_seconds_between("date", "date_end"))
     )
+
+
+def int_lap_position(raw: Raw) -> DataFrame:
+    """Position samples inside each lap with the nearest-sample ranks to the
+    lap start and end (ties: smaller position, then earlier sample)."""
+    inside = lap_position_samples(raw)
     lap = Window.partitionBy(*PAIR, "lap_number")
     tie = [F.col("position").asc_nulls_last(), F.col("date").asc_nulls_last(), F.col("date_start").asc_nulls_last()]
     return inside.select(

@@ -211,10 +211,18 @@ def final_historical_analysis(raw: Raw) -> DataFrame:
             round_half_up(F.max("gap_to_next"), 3).alias("max_gap_to_next"),
         ],
     )
-    lap_pos = it.int_lap_position(raw)
-    ends = lap_pos.groupBy(*PAIR, "lap_number").agg(
-        F.max(F.when(F.col("start_position_rank") == 1, F.col("position"))).alias("start_position"),
-        F.max(F.when(F.col("end_position_rank") == 1, F.col("position"))).alias("end_position"),
+    # Nearest sample to each lap end: the rank-1 rows of int_lap_position,
+    # picked with min_by over the same ordering (NULL positions last), so
+    # the samples are reduced per task before the shuffle instead of being
+    # sorted twice per lap.
+    inside = it.lap_position_samples(raw)
+
+    def nearest(diff: str) -> F.Column:
+        order = F.struct(F.col(diff), F.col("position").isNull(), "position", "date", "date_start")
+        return F.min_by("position", order)
+
+    ends = inside.groupBy(*PAIR, "lap_number").agg(
+        nearest("start_time_diff").alias("start_position"), nearest("end_time_diff").alias("end_position")
     )
     metrics = (
         laps.join(first, PAIR, "left")
