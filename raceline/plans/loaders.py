@@ -19,6 +19,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from raceline import schemas
+from raceline.session import checkpoint_dir
 from raceline.operators.conform import conform_fill, conform_keep, conform_require, nan_to_null_all
 from raceline.operators.dedup import dedup_keep_first
 from raceline.operators.incremental import (
@@ -223,6 +224,7 @@ def run_car_data_backfill(
     job committed, so a failed write leaves its pairs open (a pair whose
     payload is empty is done once the job commits). Returns the number of
     pairs closed."""
+    checkpoint_dir(spark)
     ledger = read_ledger(spark, ledger_path)
     open_pairs = car_data_pairs(sessions, drivers, ledger, types)
     # Freeze the work list (and cut its lineage) in the shared checkpoint

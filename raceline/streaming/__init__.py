@@ -1,0 +1,10 @@
+"""Structured Streaming driver for the landing loaders.
+
+The timing pipeline has no event-time streaming logic (no windows, watermarks
+or state); its incremental behaviour is "process every landed payload once,
+skip what the table already holds, resume after a failure". That maps onto a
+file-source stream: Spark's checkpoint records which landing files were
+processed, and each micro-batch runs the ordinary batch loader.
+"""
+
+from raceline.streaming.landing_stream import STREAM_LOADERS, start_landing_stream  # noqa: F401
