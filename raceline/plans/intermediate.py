@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from raceline.functions.columns import epoch_seconds_between, round_half_up, strip_lapped
 from raceline.operators.interval_join import interval_join, interval_left_aggregate
+from raceline.operators.ordered import blocked_row_number
 from raceline.plans import staging as stg
 from raceline.plans.staging import Raw
 
@@ -18,6 +19,8 @@ PAIR = ["session_key", "driver_number"]
 LAP_BUCKET_SECONDS = 900
 STINT_BUCKET_SECONDS = 3600
 STINT_BUCKET_LAPS = 8
+# Width of the distance blocks of the nearest-sample ranks.
+RANK_BLOCK_SECONDS = 60
 
 
 def int_best_laps(raw: Raw) -> DataFrame:
@@ -69,16 +72,34 @@ def lap_position_samples(raw: Raw) -> DataFrame:
     )
 
 
-def int_lap_position(raw: Raw) -> DataFrame:
+def int_lap_position(raw: Raw, skew_safe: bool = False) -> DataFrame:
     """Position samples inside each lap with the nearest-sample ranks to the
-    lap start and end (ties: smaller position, then earlier sample)."""
+    lap start and end (ties: smaller position, then earlier sample).
+
+    The ranks number every sample, so each lap's samples are sorted in one
+    task (one shuffle by lap, two sorts; the sort spills). ``skew_safe=True``
+    ranks per block of RANK_BLOCK_SECONDS of distance plus the sample count
+    of the nearer blocks instead, so a lap with a huge number of samples is
+    ranked by many tasks; it is exact but costs a checkpoint and a second
+    shuffle of the samples per rank.
+    """
     inside = lap_position_samples(raw)
-    lap = Window.partitionBy(*PAIR, "lap_number")
+    keys = [*PAIR, "lap_number"]
     tie = [F.col("position").asc_nulls_last(), F.col("date").asc_nulls_last(), F.col("date_start").asc_nulls_last()]
+    ranks = (("start_time_diff", "start_position_rank"), ("end_time_diff", "end_position_rank"))
+    if skew_safe:
+        for diff, rank in ranks:
+            inside = blocked_row_number(
+                inside.withColumn("__block", F.floor(F.col(diff) / RANK_BLOCK_SECONDS)),
+                keys, "__block", [F.col(diff).asc_nulls_last(), *tie], rank, materialize=True,
+            ).drop("__block")
+    else:
+        lap = Window.partitionBy(*keys)
+        for diff, rank in ranks:
+            inside = inside.withColumn(rank, F.row_number().over(lap.orderBy(F.col(diff).asc_nulls_last(), *tie)))
     return inside.select(
         *PAIR, "position", "date", "lap_number", "date_start", "date_end", "start_time_diff", "end_time_diff",
-        F.row_number().over(lap.orderBy(F.col("start_time_diff").asc_nulls_last(), *tie)).alias("start_position_rank"),
-        F.row_number().over(lap.orderBy(F.col("end_time_diff").asc_nulls_last(), *tie)).alias("end_position_rank"),
+        "start_position_rank", "end_position_rank",
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from raceline.functions.columns import concat_ignore_nulls, round_half_up
 from raceline.operators.interval_join import interval_left_aggregate
+from raceline.operators.ordered import blocked_running_max, join_null_safe
 from raceline.plans import intermediate as it
 from raceline.plans import staging as stg
 from raceline.plans.staging import Raw
@@ -17,6 +18,9 @@ PAIR = it.PAIR
 # position (and NULL) scores 0.
 POINTS_BY_POSITION = [25, 18, 15, 12, 10, 8, 6, 4, 2, 1]
 
+# Laps per block of the running position fill.
+LAP_BLOCK = 16
+
 
 def _points(position: str) -> F.Column:
     table = F.array(*[F.lit(p) for p in POINTS_BY_POSITION])
@@ -174,7 +178,7 @@ def final_tyre_performance(raw: Raw) -> DataFrame:
     )
 
 
-def final_historical_analysis(raw: Raw) -> DataFrame:
+def final_historical_analysis(raw: Raw, skew_safe: bool = False) -> DataFrame:
     """One row per lap: first recorded position, gap range during the lap and
     start/end positions (lap 1 = first recorded position; otherwise the lap's
     own nearest sample, else the running MAX so far, else the first
@@ -184,6 +188,8 @@ def final_historical_analysis(raw: Raw) -> DataFrame:
     interval join (min/max do not care how often a lap row repeats), and the
     start/end samples are picked in one grouped pass; the lap rows are then
     joined once to each per-lap result instead of fanning out the samples.
+    ``skew_safe=True`` computes the running fill per block of laps (exact; a
+    driver with an enormous number of laps is not sorted in one task).
     """
     laps = stg.stg_laps(raw).select(
         *PAIR, "lap_number", "date_start", "date_end", "is_pit_out_lap",
@@ -230,15 +236,30 @@ def final_historical_analysis(raw: Raw) -> DataFrame:
         .join(ends, [*PAIR, "lap_number"], "left")
         .dropDuplicates()
     )
-    running = (
-        Window.partitionBy(*PAIR)
-        .orderBy(F.col("lap_number").asc_nulls_last(), F.col("date_start").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    if skew_safe:
+        # Start/end positions depend on (session, driver, lap_number) only:
+        # the running MAX is computed on one row per lap number, per block of
+        # LAP_BLOCK laps plus a prefix over the blocks, and joined back.
+        lap_numbers = laps.select(*PAIR, "lap_number").distinct().join(ends, [*PAIR, "lap_number"], "left")
+        running = blocked_running_max(
+            lap_numbers.withColumn("__lap_block", F.floor(F.col("lap_number") / LAP_BLOCK)),
+            PAIR, "__lap_block", [F.col("lap_number").asc_nulls_last()],
+            {"__run_start": "start_position", "__run_end": "end_position"}, materialize=True,
+        ).select(*PAIR, "lap_number", "__run_start", "__run_end")
+        metrics = join_null_safe(metrics, running, [*PAIR, "lap_number"], "left")
+    else:
+        # One window per (session, driver) over its lap rows (a driver's laps
+        # in a session are bounded by the race distance).
+        order = Window.partitionBy(*PAIR).orderBy(
+            F.col("lap_number").asc_nulls_last(), F.col("date_start").asc_nulls_last()
+        ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        metrics = metrics.withColumn("__run_start", F.max("start_position").over(order)).withColumn(
+            "__run_end", F.max("end_position").over(order)
+        )
 
-    def filled(col: str) -> F.Column:
+    def filled(col: str, running: str) -> F.Column:
         return F.when(F.col("lap_number") == 1, F.col("first_position")).otherwise(
-            F.coalesce(F.col(col), F.max(col).over(running), F.col("first_position"))
+            F.coalesce(F.col(col), F.col(running), F.col("first_position"))
         )
 
     return metrics.select(
@@ -246,8 +267,8 @@ def final_historical_analysis(raw: Raw) -> DataFrame:
         F.col("date_start").alias("lap_start_time"), F.col("date_end").alias("lap_end_time"),
         "is_pit_out_lap", "duration_sector_1", "duration_sector_2", "duration_sector_3",
         "min_gap_to_leader", "max_gap_to_leader", "min_gap_to_next", "max_gap_to_next",
-        filled("start_position").alias("lap_start_position"),
-        filled("end_position").alias("lap_end_position"),
+        filled("start_position", "__run_start").alias("lap_start_position"),
+        filled("end_position", "__run_end").alias("lap_end_position"),
         F.col("first_position").alias("race_start_position"),
     )
 

@@ -177,3 +177,13 @@ def test_every_model_is_one_lazy_plan(spark):
     for fn in list(staging.MODELS.values()) + list(it.MODELS.values()) + list(marts.MODELS.values()):
         assert fn(raw).count() == 0
     assert dt.timezone.utc
+
+
+def test_skew_safe_variants_are_exact(spark):
+    from raceline.sources.fixtures import raw_tables
+
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    for fn in (marts.final_historical_analysis, it.int_lap_position):
+        plain, blocked = fn(raw), fn(raw, skew_safe=True)
+        assert plain.count() == blocked.count()
+        assert plain.exceptAll(blocked).count() == 0
