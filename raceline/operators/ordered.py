@@ -84,4 +84,4 @@ def blocked_row_number(
     )
     inside = Window.partitionBy(*keys, block).orderBy(*order)
     ranked = join_null_safe(df, offsets, [*keys, block], "inner")
-    return ranked.withColumn(out, (F.row_number().over(inside) + F.col("__offset")).cast("int")).drop("__offset")
+    return ranked.withColumn(out, (F.row_number().over(inside) + F.col("__offset")).cast("long")).drop("__offset")

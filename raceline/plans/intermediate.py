@@ -96,7 +96,8 @@ def int_lap_position(raw: Raw, skew_safe: bool = False) -> DataFrame:
     else:
         lap = Window.partitionBy(*keys)
         for diff, rank in ranks:
-            inside = inside.withColumn(rank, F.row_number().over(lap.orderBy(F.col(diff).asc_nulls_last(), *tie)))
+            rn = F.row_number().over(lap.orderBy(F.col(diff).asc_nulls_last(), *tie))
+            inside = inside.withColumn(rank, rn.cast("long"))
     return inside.select(
         *PAIR, "position", "date", "lap_number", "date_start", "date_end", "start_time_diff", "end_time_diff",
         "start_position_rank", "end_position_rank",
