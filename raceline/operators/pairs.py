@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from raceline.operators.interval_join import interval_join
 
 PAIR = ["session_key", "driver_number"]
 
@@ -41,9 +40,31 @@ def hour_chunks(sessions: DataFrame, start: str = "date_start", end: str = "date
     )
 
 
-def chunk_filter(samples: DataFrame, pair_chunks: DataFrame, hours: int = 1) -> DataFrame:
-    """Samples of each (pair, chunk): ``request_from <= date < request_to``.
-    A bucketed range join on (session, driver, hour); each sample belongs to
-    at most one chunk because consecutive chunks share their bounds."""
-    ranges = pair_chunks.select(*PAIR, "chunk_start", "request_from", "request_to")
-    return interval_join(samples, ranges, PAIR, "date", "request_from", "request_to", hours * 3600, hi_inclusive=False)
+def chunk_filter(samples: DataFrame, sessions: DataFrame, pairs: DataFrame, hours: int = 1) -> DataFrame:
+    """Samples of the given (session, driver) pairs as the hour-chunked
+    requests return them: per chunk ``request_from <= date < request_to``,
+    labelled with their chunk.
+
+    Consecutive chunks share their bounds and the request bounds are the
+    chunk bounds cut to whole seconds, so the requests of a session tile
+    ``[trunc(start), trunc(end))`` on a whole-hour grid: a sample's chunk is
+    ``floor((date - trunc(start)) / hours)``. That makes the filter an equi
+    join with the sessions plus a semi join with the pairs; no table of
+    pairs x chunks is built.
+    """
+    step = F.make_dt_interval(F.lit(0), F.lit(hours))
+    spans = sessions.select("session_key", "date_start", "date_end").filter(
+        F.col("date_start").isNotNull() & F.col("date_end").isNotNull() & (F.col("date_start") < F.col("date_end"))
+    )
+    rows = samples.join(pairs.select(*PAIR), PAIR, "left_semi").join(spans, "session_key", "inner")
+    base = F.date_trunc("second", "date_start")
+    width = F.lit(hours * 3_600_000_000)
+    offset = F.unix_micros("date") - F.unix_micros(base)
+    index = ((offset - F.pmod(offset, width)) / width).cast("int")
+    inside = rows.filter((F.col("date") >= base) & (F.col("date") < F.date_trunc("second", "date_end")))
+    chunk_start = F.col("date_start") + step * index
+    labelled = inside.withColumn("chunk_start", chunk_start)
+    labelled = labelled.withColumn("request_from", F.date_trunc("second", "chunk_start")).withColumn(
+        "request_to", F.date_trunc("second", F.least(F.col("chunk_start") + step, F.col("date_end")))
+    )
+    return labelled.drop("date_start", "date_end")

@@ -107,8 +107,7 @@ def hour_chunks_view(s: Setting) -> DataFrame:
 def chunk_filter_view(s: Setting) -> DataFrame:
     chosen = sel.sessions_one_type(s.sessions, sel.RACE_TYPES)
     work = pairs.session_driver_pairs(chosen, s.raw["drivers"])
-    chunks = pairs.hour_chunks(chosen.select("session_key", "date_start", "date_end"))
-    return pairs.chunk_filter(s.raw["car_data"], work.join(chunks, "session_key", "inner"))
+    return pairs.chunk_filter(s.raw["car_data"], chosen, work)
 
 
 def ledger_skip_view(s: Setting) -> DataFrame:

@@ -30,7 +30,7 @@ from raceline.operators.incremental import (
     append_table,
     load_metrics,
 )
-from raceline.operators.pairs import chunk_filter, hour_chunks, session_driver_pairs, session_driver_roster
+from raceline.operators.pairs import chunk_filter, session_driver_pairs, session_driver_roster
 from raceline.operators.sessions import (
     sessions_by_name,
     sessions_by_type,
@@ -203,10 +203,8 @@ def load_car_data(
     each session (``request_from <= date < request_to``)."""
     chosen = sessions_one_type(sessions, types)
     pairs = ledger_skip(session_driver_pairs(chosen, drivers), ledger)
-    chunks = hour_chunks(chosen.select("session_key", "date_start", "date_end"), hours=hours)
-    pair_chunks = pairs.join(chunks, "session_key", "inner")
     samples = conform_fill(_clean(landing), schemas.RAW["car_data"])
-    inside = chunk_filter(samples, pair_chunks, hours)
+    inside = chunk_filter(samples, chosen, pairs, hours)
     return nan_to_null_all(conform_fill(inside, schemas.RAW["car_data"]))
 
 

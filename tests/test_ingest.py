@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import random
 
@@ -219,3 +220,30 @@ def test_raw_mapping_is_whole(spark):
     s = ingest_views.Setting(spark, SMOKE)
     lineitem = spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
     assert s.raw["car_data"].count() == lineitem
+
+
+def test_chunk_filter_equals_per_chunk_requests(spark):
+    """Fractional-second session bounds: the arithmetic chunk assignment
+    equals filtering each (pair, chunk) request separately."""
+    sessions = spark.createDataFrame(
+        [(1, ts("2024-03-01 10:00:00.900"), ts("2024-03-01 12:00:00.500")),
+         (2, ts("2024-03-01 10:00:00.250"), ts("2024-03-01 12:30:00.750"))],
+        "session_key int, date_start timestamp, date_end timestamp")
+    work = spark.createDataFrame([(1, 7), (2, 7), (2, 8)], "session_key int, driver_number int")
+    rnd = random.Random(3)
+    samples = frame(spark, "car_data", [
+        {"session_key": rnd.choice([1, 2]), "driver_number": rnd.choice([7, 8]),
+         "date": ts("2024-03-01 09:59:59") + dt.timedelta(microseconds=rnd.randint(0, 9_000_000_000)), "speed": i}
+        for i in range(3000)] + [
+        {"session_key": 1, "driver_number": 7, "date": ts(t), "speed": -1}
+        for t in ("2024-03-01 10:00:00", "2024-03-01 11:00:00", "2024-03-01 11:00:00.500", "2024-03-01 12:00:00")])
+    got = sorted((r.speed, r.request_from, r.request_to) for r in pairs.chunk_filter(samples, sessions, work).collect())
+    chunks = pairs.hour_chunks(sessions).collect()
+    wanted = set(map(tuple, work.collect()))
+    expect = sorted(
+        (r.speed, c.request_from, c.request_to)
+        for r in samples.collect() for c in chunks
+        if (r.session_key, r.driver_number) in wanted and c.session_key == r.session_key
+        and c.request_from <= r.date < c.request_to
+    )
+    assert got == expect
