@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from raceline import schemas
 from raceline.session import checkpoint_dir
@@ -28,7 +29,6 @@ from raceline.operators.incremental import (
     anti_by_session,
     anti_by_triple,
     append_table,
-    load_metrics,
 )
 from raceline.operators.pairs import chunk_filter, session_driver_pairs, session_driver_roster
 from raceline.operators.sessions import (
@@ -240,13 +240,42 @@ def run_load(new_rows: DataFrame, table_path: str) -> None:
 
 
 def location_metrics(landing: DataFrame, ledger: DataFrame, sessions: DataFrame, drivers: DataFrame, deny=()) -> DataFrame:
-    """Counts of the resumable location load (landed, skipped, duplicate,
-    inserted rows)."""
-    pairs = location_resume_pairs(sessions, drivers, ledger, deny)
-    kept = _clean(landing).join(pairs, PAIR, "left_semi")
-    required = conform_require(kept, schemas.RAW["location"], schemas.columns("location"), PAIR)
-    deduped = dedup_keep_first(required, DEDUP_KEYS["location"])
-    return load_metrics(landing, required, deduped, deduped)
+    """Counts of the resumable location load in one pass over the landing:
+    landed rows, rows skipped (pair done, not requested, or payload missing
+    a required column), duplicate rows and rows to insert.
+
+    Every landed row is flagged (open pair, complete payload) by joins with
+    per-pair tables, then grouped once by (kept, dedup key): the group sizes
+    give all four counts, so the landing is read once instead of once per
+    count."""
+    rows = _clean(landing)
+    open_pairs = location_resume_pairs(sessions, drivers, ledger, deny).withColumn("__open", F.lit(True))
+    flagged = rows.join(open_pairs, PAIR, "left")
+    required = schemas.columns("location")
+    complete = (
+        flagged.filter(F.col("__open"))
+        .groupBy(*PAIR)
+        .agg(*[F.max(F.col(c).isNotNull().cast("int")).alias(f"__has_{c}") for c in required])
+        .filter(F.expr(" AND ".join(f"__has_{c} = 1" for c in required)))
+        .select(*PAIR, F.lit(True).alias("__complete"))
+    )
+    kept = F.coalesce(F.col("__open") & F.col("__complete"), F.lit(False))
+    groups = (
+        flagged.join(complete, PAIR, "left")
+        .groupBy(kept.alias("__kept"), *DEDUP_KEYS["location"])
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    counts = groups.agg(
+        F.sum("__n").cast("long").alias("landed_rows"),
+        F.coalesce(F.sum(F.when(F.col("__kept"), F.col("__n"))), F.lit(0)).cast("long").alias("__after_skip"),
+        F.count(F.when(F.col("__kept"), F.lit(1))).cast("long").alias("inserted_rows"),
+    )
+    return counts.select(
+        "landed_rows",
+        (F.col("landed_rows") - F.col("__after_skip")).alias("skipped_rows"),
+        (F.col("__after_skip") - F.col("inserted_rows")).alias("duplicate_rows"),
+        "inserted_rows",
+    )
 
 
 LOADERS = {
