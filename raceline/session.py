@@ -25,6 +25,25 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Sizing for a large cluster (~1000 executors, ~100 TB of landed telemetry).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions, which fit
+# executor memory with room for sort buffers (larger ones spill, never fail);
+# scans split files into 256 MB pieces; a partition 5x the median and over
+# 512 MB counts as skewed and is split; dimension joins are broadcast only
+# when the *measured* side is under 64 MB (sessions, meetings, drivers per
+# season are far below that), everything else is a sort-merge join.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "raceline",
