@@ -45,14 +45,19 @@ def _check(points: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"interval join: rename shared non-key columns first: {sorted(shared)}")
 
 
-def bucketed_points(points: DataFrame, point: str, width: float) -> DataFrame:
+def bucketed_points(points: DataFrame, point: str, width: float | None) -> DataFrame:
+    if width is None:
+        return points.withColumn(_BUCKET, F.lit(0).cast("long"))
     axis, is_time = _axis(points, point)
     return points.withColumn(_BUCKET, _bucket_of(axis, _width(is_time, width)))
 
 
-def bucketed_ranges(ranges: DataFrame, lo: str, hi: str, width: float) -> DataFrame:
+def bucketed_ranges(ranges: DataFrame, lo: str, hi: str, width: float | None) -> DataFrame:
     """One row per (range, covered bucket). Empty or NULL ranges keep a single
-    row (they match nothing but survive a left join)."""
+    row (they match nothing but survive a left join). ``width=None`` puts
+    everything in one bucket: the plain equi join with the BETWEEN residual."""
+    if width is None:
+        return ranges.withColumn(_BUCKET, F.lit(0).cast("long"))
     lo_axis, is_time = _axis(ranges, lo)
     hi_axis, _ = _axis(ranges, hi)
     w = _width(is_time, width)
