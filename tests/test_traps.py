@@ -187,3 +187,16 @@ def test_skew_safe_variants_are_exact(spark):
         plain, blocked = fn(raw), fn(raw, skew_safe=True)
         assert plain.count() == blocked.count()
         assert plain.exceptAll(blocked).count() == 0
+
+
+def test_models_as_named_views_and_tables(spark, tmp_path):
+    from raceline.plans.views import materialize, register_views
+    from raceline.sources.fixtures import raw_tables
+
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    names = register_views(spark, raw, ["stg_laps", "final_race_leaderboard", "example_union"])
+    assert "raw_laps" in names and "final_race_leaderboard" in names
+    top = spark.sql("SELECT session_key, count(*) AS n FROM final_race_leaderboard WHERE points = 25 GROUP BY 1")
+    assert top.filter("n >= 1").count() == top.count() > 0
+    materialize(spark.table("example_union"), str(tmp_path / "first"))
+    assert spark.read.parquet(str(tmp_path / "first")).count() == spark.table("example_union").count()
