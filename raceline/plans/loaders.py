@@ -234,6 +234,26 @@ def run_car_data_backfill(
     return open_pairs.count()
 
 
+def run_location_backfill(
+    spark: SparkSession,
+    landing: DataFrame,
+    sessions: DataFrame,
+    drivers: DataFrame,
+    table_path: str,
+    ledger_path: str,
+    deny: Iterable[int] | DataFrame = (),
+) -> int:
+    """Resumable location load: rows of every open pair are appended, then
+    the pairs go to the ledger, including pairs whose payload was empty or
+    lacked a required column (they count as done). Returns the pairs closed."""
+    checkpoint_dir(spark)
+    ledger = read_ledger(spark, ledger_path)
+    open_pairs = location_resume_pairs(sessions, drivers, ledger, deny).checkpoint(eager=True)
+    append_table(nan_to_null_all(_location_rows(landing, open_pairs)), table_path)
+    append_ledger(open_pairs, ledger_path)
+    return open_pairs.count()
+
+
 def run_load(new_rows: DataFrame, table_path: str) -> None:
     """Append a loader result to its table."""
     append_table(new_rows, table_path)

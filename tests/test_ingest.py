@@ -247,3 +247,20 @@ def test_chunk_filter_equals_per_chunk_requests(spark):
         and c.request_from <= r.date < c.request_to
     )
     assert got == expect
+
+
+def test_location_backfill_resumes(spark, tmp_path):
+    sessions = frame(spark, "sessions", [{"session_key": k, "session_type": "Race"} for k in (1, 2, 3)])
+    drivers = frame(spark, "drivers", [{"session_key": k, "driver_number": n} for k in (1, 2, 3) for n in (1, 2)])
+    loc = frame(spark, "location", [
+        {"session_key": 1, "driver_number": 1, "date": ts("2024-03-01 10:00:00"), "x": 1.0, "y": 1.0, "z": 0.0},
+        {"session_key": 1, "driver_number": 1, "date": ts("2024-03-01 10:00:01"), "x": 1.0, "y": 1.0, "z": 0.0},
+        {"session_key": 2, "driver_number": 2, "date": ts("2024-03-01 10:00:00"), "x": 2.0, "y": None, "z": 0.0},
+        {"session_key": 3, "driver_number": 1, "date": ts("2024-03-01 10:00:00"), "x": 3.0, "y": 3.0, "z": 0.0},
+    ])
+    table, led = str(tmp_path / "location"), str(tmp_path / "ledger")
+    closed = loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3])
+    assert closed == 4  # sessions 1 and 2, two cars each; empty and incomplete payloads count as done
+    rows = spark.read.parquet(table).collect()
+    assert [(r.session_key, r.date) for r in rows] == [(1, ts("2024-03-01 10:00:00"))]  # dedup ignores date
+    assert loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3]) == 0
