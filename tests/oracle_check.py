@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -96,7 +97,11 @@ if __name__ == "__main__":
     from raceline.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8)
+    conf = {}
+    if os.environ.get("RACELINE_NO_BROADCAST"):
+        # Plan every join as a shuffle join, as at cluster scale.
+        conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    spark = build_session("local[8]", shuffle_partitions=8, conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
     import __spark_entry__ as entry
 

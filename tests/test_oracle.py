@@ -31,3 +31,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[:4] == ["session_key", "driver_number", "driver_name", "position"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["int_lap_position", "int_tyre_stints_weather", "final_historical_analysis",
+                                  "final_race_leaderboard", "chunk_filter", "load_location", "dedup_keep_first"])
+def test_shuffle_join_plans_match_oracle(spark, duck, name):
+    """The cluster-scale plan shape: no broadcast, every join shuffles."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        result = compare(spark, name, SMOKE, duck)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert result.get("match"), result
