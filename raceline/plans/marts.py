@@ -33,10 +33,16 @@ def _driver_display_name() -> F.Column:
 
 
 def final_car(raw: Raw) -> DataFrame:
-    """Telemetry with a driver label and the meeting of its session."""
+    """Telemetry with a driver label and the meeting of its session.
+
+    The two session-keyed dimensions are joined to each other first (small x
+    small), so the telemetry meets one session-keyed lookup instead of two:
+    at most two joins of the fact table (driver, then session/meeting), each a
+    broadcast when the dimension's measured size allows it."""
     sessions = stg.stg_sessions(raw).select("session_key", F.col("meeting_key").alias("s_meeting_key"))
     meetings = stg.stg_meeting(raw).select(F.col("meeting_key").alias("s_meeting_key"), "meeting_key")
-    car = it.int_car_base(raw).join(sessions, "session_key", "left").join(meetings, "s_meeting_key", "left")
+    session_meeting = sessions.join(meetings, "s_meeting_key", "left").select("session_key", "meeting_key")
+    car = it.int_car_base(raw).join(session_meeting, "session_key", "left")
     return car.select(
         "date",
         concat_ignore_nulls("name_acronym", F.lit(" ("), "team_name", F.lit(")")).alias("driver"),
