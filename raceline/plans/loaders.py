@@ -64,10 +64,6 @@ def _requested(landing: DataFrame, sessions: DataFrame | None) -> DataFrame:
     return landing.join(sessions.select("session_key").distinct(), "session_key", "left_semi")
 
 
-def _finish(df: DataFrame, table: str) -> DataFrame:
-    return nan_to_null_all(conform_fill(df, schemas.RAW[table]))
-
-
 def load_drivers(landing: DataFrame, target: DataFrame | None = None, keys: Sequence[str] = ("driver_number", "session_key")) -> DataFrame:
     """Drivers not yet known. Default key (car, session); ``keys=
     ["driver_number"]`` reproduces the car-number-only skip, under which a
