@@ -212,6 +212,7 @@ def run_car_data_backfill(
     table_path: str,
     ledger_path: str,
     types: Sequence[str] = ("Race", "Qualifying"),
+    partition_by: Sequence[str] = (),
 ) -> int:
     """Resumable backfill: append the rows of all open pairs, then append
     those pairs to the ledger. The ledger is written only after the data
@@ -225,7 +226,7 @@ def run_car_data_backfill(
     # folder so data and ledger refer to the same pairs.
     open_pairs = open_pairs.checkpoint(eager=True)
     rows = load_car_data(landing, ledger, sessions, drivers, types).join(open_pairs, PAIR, "left_semi")
-    append_table(rows, table_path)
+    append_table(rows, table_path, partition_by=partition_by)
     append_ledger(open_pairs, ledger_path)
     return open_pairs.count()
 
@@ -238,6 +239,7 @@ def run_location_backfill(
     table_path: str,
     ledger_path: str,
     deny: Iterable[int] | DataFrame = (),
+    partition_by: Sequence[str] = (),
 ) -> int:
     """Resumable location load: rows of every open pair are appended, then
     the pairs go to the ledger, including pairs whose payload was empty or
@@ -245,14 +247,16 @@ def run_location_backfill(
     checkpoint_dir(spark)
     ledger = read_ledger(spark, ledger_path)
     open_pairs = location_resume_pairs(sessions, drivers, ledger, deny).checkpoint(eager=True)
-    append_table(nan_to_null_all(_location_rows(landing, open_pairs)), table_path)
+    append_table(nan_to_null_all(_location_rows(landing, open_pairs)), table_path, partition_by=partition_by)
     append_ledger(open_pairs, ledger_path)
     return open_pairs.count()
 
 
-def run_load(new_rows: DataFrame, table_path: str) -> None:
-    """Append a loader result to its table."""
-    append_table(new_rows, table_path)
+def run_load(new_rows: DataFrame, table_path: str, partition_by: Sequence[str] = ()) -> None:
+    """Append a loader result to its table. For the large per-session tables
+    (car_data, location, position, intervals) ``partition_by=("session_key",)``
+    lets per-session reads prune to their own files."""
+    append_table(new_rows, table_path, partition_by=partition_by)
 
 
 def location_metrics(landing: DataFrame, ledger: DataFrame, sessions: DataFrame, drivers: DataFrame, deny=()) -> DataFrame:

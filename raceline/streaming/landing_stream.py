@@ -51,6 +51,7 @@ def start_landing_stream(
     multi_line: bool = False,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    partition_by: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes every file landed
     so far (in bounded micro-batches) and stops, like a scheduled backfill."""
@@ -65,7 +66,7 @@ def start_landing_stream(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         target = read_table(spark, table_path, schemas.RAW[table])
         sessions = read_table(spark, sessions_path, schemas.RAW["sessions"]) if sessions_path else None
-        append_table(loader(batch, target, sessions), table_path)
+        append_table(loader(batch, target, sessions), table_path, partition_by=partition_by)
 
     checkpoint = checkpoint_path or f"{checkpoint_dir(spark).rstrip('/')}/streams/{table}"
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
