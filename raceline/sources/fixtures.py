@@ -4,9 +4,10 @@ The benchmark data holds no motorsport tables, so every raw table is a
 deterministic projection of whole driver tables (no row is filtered away, so
 each raw table grows with the scale factor):
 
-* sessions   <- nation x region       (one session per nation, one day each)
-* meetings   <- region                (one meeting per region; six columns absent
-                                       in the landing shape, see ``conform_fill``)
+* sessions   <- nation x region for every session key with an entered car
+                                      (one session per nation, one day each)
+* meetings   <- region with a listed session (one meeting per region; six
+                                      columns absent in the landing shape)
 * drivers    <- customer              (customer k drives car k div 25 + 1 in session k mod 25)
 * laps       <- customer x 24 laps    (one-hour laps, some without duration)
 * stints     <- customer x 3 stints
@@ -44,6 +45,10 @@ from raceline.sources.parquet import read_table
 LOADED_CUTOFF = "2024-01-11 00:00:00"
 
 _DAY0 = "TIMESTAMP '2024-01-01 00:00:00'"
+# A session is listed when its entry list (the drivers table) has a car; a
+# meeting when one of its sessions is listed. Both read the whole customer
+# table, as the entry lists do.
+_ENTERED = "(SELECT DISTINCT CAST(c_custkey % 25 AS INT) AS session_key FROM {customer}) entered"
 _EVENT_KEY = "(SELECT *, user_id * 10 + event_id % 10 AS k FROM {events}) e"
 _EVENT_DRIVER = "CAST(floor(k / 25) + 1 AS INT)"
 _EVENT_SESSION = "CAST(k % 25 AS INT)"
@@ -60,13 +65,14 @@ SELECT CAST(n_nationkey AS INT) AS session_key, CAST(100 + n_regionkey AS INT) A
   {_DAY0} + (n_nationkey + 1) * INTERVAL '1' DAY AS date_end,
   n_name AS location, r_name AS country_name, CAST(2024 AS INT) AS year,
   concat('C', CAST(n_nationkey % 8 AS STRING)) AS circuit_short_name
-FROM {{nation}} JOIN {{region}} ON n_regionkey = r_regionkey""",
+FROM {_ENTERED} JOIN {{nation}} ON n_nationkey = entered.session_key JOIN {{region}} ON n_regionkey = r_regionkey""",
     "meetings": f"""
 SELECT CAST(100 + r_regionkey AS INT) AS meeting_key, concat(r_name, ' GP') AS meeting_name,
   concat('OFFICIAL ', r_name, ' GP 2024') AS meeting_official_name, r_name AS country_name,
   concat('C', CAST(r_regionkey AS STRING)) AS circuit_short_name,
   {_DAY0} + r_regionkey * INTERVAL '5' DAY AS date_start, CAST(2024 AS INT) AS year
-FROM {{region}}""",
+FROM {{region}} WHERE r_regionkey IN (
+  SELECT n_regionkey FROM {_ENTERED} JOIN {{nation}} ON n_nationkey = entered.session_key)""",
     "drivers": """
 SELECT CAST(floor(c_custkey / 25) + 1 AS INT) AS driver_number, CAST(c_custkey % 25 AS INT) AS session_key,
   c_name AS broadcast_name, c_name AS full_name,
