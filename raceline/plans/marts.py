@@ -203,8 +203,10 @@ def final_historical_analysis(raw: Raw, skew_safe: bool = False) -> DataFrame:
         .select(*PAIR, F.col("position").alias("first_position"))
     )
     lap_key = [*PAIR, "lap_number", "date_start", "date_end"]
+    # Duplicate lap rows fall into the same group and min/max are idempotent,
+    # so the lap ranges need no DISTINCT (and no shuffle for it).
     gaps = interval_left_aggregate(
-        laps.select(*lap_key).distinct(),
+        laps.select(*lap_key),
         stg.stg_intervals(raw).select(
             *PAIR, F.date_trunc("second", "date").alias("gap_date"), "gap_to_leader", "gap_to_next"
         ),
