@@ -23,6 +23,7 @@ from raceline import schemas
 from raceline.session import checkpoint_dir
 from raceline.operators.conform import conform_fill, conform_keep, conform_require, nan_to_null_all
 from raceline.operators.dedup import dedup_keep_first
+from raceline.operators import incremental
 from raceline.operators.incremental import (
     anti_by_key,
     anti_by_pair,
@@ -204,6 +205,35 @@ def load_car_data(
     return nan_to_null_all(conform_fill(inside, schemas.RAW["car_data"]))
 
 
+def _close_pairs(
+    spark: SparkSession,
+    candidates: DataFrame,
+    table_path: str,
+    ledger_path: str,
+    table: str,
+    rows_of,
+    partition_by: Sequence[str],
+) -> int:
+    """Append the rows of the candidate pairs, then ledger them.
+
+    Pairs that already have rows in the table (a run that died after the
+    data commit and before the ledger append) are not loaded again; they
+    only go to the ledger, so a rerun never duplicates rows. The table is
+    read only for the candidate sessions (partition pruning when the table
+    is partitioned by session_key)."""
+    candidates = candidates.checkpoint(eager=True)
+    existing = incremental.read_table(spark, table_path, schemas.RAW[table])
+    present = (
+        existing.join(candidates.select("session_key").distinct(), "session_key", "left_semi")
+        .select(*PAIR)
+        .distinct()
+    )
+    open_pairs = anti_by_pair(candidates, present).checkpoint(eager=True)
+    append_table(rows_of(open_pairs), table_path, partition_by=partition_by)
+    append_ledger(candidates, ledger_path)
+    return open_pairs.count()
+
+
 def run_car_data_backfill(
     spark: SparkSession,
     landing: DataFrame,
@@ -214,21 +244,19 @@ def run_car_data_backfill(
     types: Sequence[str] = ("Race", "Qualifying"),
     partition_by: Sequence[str] = (),
 ) -> int:
-    """Resumable backfill: append the rows of all open pairs, then append
-    those pairs to the ledger. The ledger is written only after the data
-    job committed, so a failed write leaves its pairs open (a pair whose
+    """Resumable telemetry backfill: append the rows of all open pairs, then
+    append those pairs to the ledger. The ledger is written only after the
+    data job committed, so a failed write leaves its pairs open (a pair whose
     payload is empty is done once the job commits). Returns the number of
-    pairs closed."""
+    pairs loaded."""
     checkpoint_dir(spark)
     ledger = read_ledger(spark, ledger_path)
-    open_pairs = car_data_pairs(sessions, drivers, ledger, types)
-    # Freeze the work list (and cut its lineage) in the shared checkpoint
-    # folder so data and ledger refer to the same pairs.
-    open_pairs = open_pairs.checkpoint(eager=True)
-    rows = load_car_data(landing, ledger, sessions, drivers, types).join(open_pairs, PAIR, "left_semi")
-    append_table(rows, table_path, partition_by=partition_by)
-    append_ledger(open_pairs, ledger_path)
-    return open_pairs.count()
+    candidates = car_data_pairs(sessions, drivers, ledger, types)
+
+    def rows_of(open_pairs: DataFrame) -> DataFrame:
+        return load_car_data(landing, ledger, sessions, drivers, types).join(open_pairs, PAIR, "left_semi")
+
+    return _close_pairs(spark, candidates, table_path, ledger_path, "car_data", rows_of, partition_by)
 
 
 def run_location_backfill(
@@ -243,13 +271,15 @@ def run_location_backfill(
 ) -> int:
     """Resumable location load: rows of every open pair are appended, then
     the pairs go to the ledger, including pairs whose payload was empty or
-    lacked a required column (they count as done). Returns the pairs closed."""
+    lacked a required column (they count as done). Returns the pairs loaded."""
     checkpoint_dir(spark)
     ledger = read_ledger(spark, ledger_path)
-    open_pairs = location_resume_pairs(sessions, drivers, ledger, deny).checkpoint(eager=True)
-    append_table(nan_to_null_all(_location_rows(landing, open_pairs)), table_path, partition_by=partition_by)
-    append_ledger(open_pairs, ledger_path)
-    return open_pairs.count()
+    candidates = location_resume_pairs(sessions, drivers, ledger, deny)
+
+    def rows_of(open_pairs: DataFrame) -> DataFrame:
+        return nan_to_null_all(_location_rows(landing, open_pairs))
+
+    return _close_pairs(spark, candidates, table_path, ledger_path, "location", rows_of, partition_by)
 
 
 def run_load(new_rows: DataFrame, table_path: str, partition_by: Sequence[str] = ()) -> None:

@@ -264,3 +264,20 @@ def test_location_backfill_resumes(spark, tmp_path):
     rows = spark.read.parquet(table).collect()
     assert [(r.session_key, r.date) for r in rows] == [(1, ts("2024-03-01 10:00:00"))]  # dedup ignores date
     assert loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3]) == 0
+
+
+def test_backfill_rerun_after_crash_does_not_duplicate(spark, tmp_path):
+    """Data committed, ledger not written (crash in between): the rerun loads
+    nothing twice and completes the ledger."""
+    sessions = frame(spark, "sessions", [{"session_key": 1, "session_type": "Race", "date_start": ts("2024-03-01 10:00:00"),
+                                          "date_end": ts("2024-03-01 12:00:00")}])
+    drivers = frame(spark, "drivers", [{"session_key": 1, "driver_number": n} for n in (1, 2)])
+    car = frame(spark, "car_data", [
+        {"session_key": 1, "driver_number": n, "date": ts("2024-03-01 10:30:00"), "speed": 200 + n} for n in (1, 2)])
+    table, led = str(tmp_path / "car"), str(tmp_path / "ledger")
+    # the crashed run: rows of car 1 were appended, the ledger append never happened
+    incremental.append_table(car.filter("driver_number = 1"), table)
+    assert loaders.run_car_data_backfill(spark, car, sessions, drivers, table, led) == 1
+    assert sorted(r.driver_number for r in spark.read.parquet(table).collect()) == [1, 2]
+    assert ledger.read_ledger(spark, led).count() == 2
+    assert loaders.run_car_data_backfill(spark, car, sessions, drivers, table, led) == 0
