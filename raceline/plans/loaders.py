@@ -292,15 +292,19 @@ def run_load(new_rows: DataFrame, table_path: str, partition_by: Sequence[str] =
 def location_metrics(landing: DataFrame, ledger: DataFrame, sessions: DataFrame, drivers: DataFrame, deny=()) -> DataFrame:
     """Counts of the resumable location load in one pass over the landing:
     landed rows, rows skipped (pair done, not requested, or payload missing
-    a required column), duplicate rows and rows to insert.
+    a required column), duplicate rows, rows to insert, and the (session,
+    car) pairs attempted and skipped as already in the ledger. (A failed
+    write fails the whole job, so there is no per-pair failure count.)
 
     Every landed row is flagged (open pair, complete payload) by joins with
-    per-pair tables, then grouped once by (kept, dedup key): the group sizes
-    give all four counts, so the landing is read once instead of once per
-    count."""
+    per-pair tables and grouped once by (kept, dedup key); the group sizes
+    and the pair lists are stacked as tagged rows and reduced by one
+    aggregate, so the landing is read once."""
     rows = _clean(landing)
-    open_pairs = location_resume_pairs(sessions, drivers, ledger, deny).withColumn("__open", F.lit(True))
-    flagged = rows.join(open_pairs, PAIR, "left")
+    roster = session_driver_roster(skip_sessions(sessions_by_type(sessions, check_key=False), deny), drivers)
+    open_pairs = ledger_skip(roster, ledger)
+    ledgered = roster.join(ledger.select(*PAIR).distinct(), [roster[k].eqNullSafe(ledger[k]) for k in PAIR], "left_semi")
+    flagged = rows.join(open_pairs.withColumn("__open", F.lit(True)), PAIR, "left")
     required = schemas.columns("location")
     complete = (
         flagged.filter(F.col("__open"))
@@ -314,17 +318,33 @@ def location_metrics(landing: DataFrame, ledger: DataFrame, sessions: DataFrame,
         flagged.join(complete, PAIR, "left")
         .groupBy(kept.alias("__kept"), *DEDUP_KEYS["location"])
         .agg(F.count(F.lit(1)).alias("__n"))
+        .select(F.lit("rows").alias("__kind"), "__kept", "__n")
     )
-    counts = groups.agg(
-        F.sum("__n").cast("long").alias("landed_rows"),
-        F.coalesce(F.sum(F.when(F.col("__kept"), F.col("__n"))), F.lit(0)).cast("long").alias("__after_skip"),
-        F.count(F.when(F.col("__kept"), F.lit(1))).cast("long").alias("inserted_rows"),
+    stacked = groups.unionByName(
+        open_pairs.select(F.lit("open").alias("__kind"), F.lit(True).alias("__kept"), F.lit(1).cast("long").alias("__n"))
+    ).unionByName(
+        ledgered.select(F.lit("ledgered").alias("__kind"), F.lit(True).alias("__kept"), F.lit(1).cast("long").alias("__n"))
+    )
+
+    def total(kind: str, only_kept: bool = False, groups_only: bool = False) -> F.Column:
+        cond = F.col("__kind") == kind
+        if only_kept:
+            cond = cond & F.col("__kept")
+        value = F.lit(1) if groups_only else F.col("__n")
+        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+
+    counts = stacked.agg(
+        total("rows").alias("landed_rows"),
+        total("rows", only_kept=True).alias("__after_skip"),
+        total("rows", only_kept=True, groups_only=True).alias("inserted_rows"),
+        total("open").alias("pairs_attempted"),
+        total("ledgered").alias("pairs_skipped"),
     )
     return counts.select(
         "landed_rows",
         (F.col("landed_rows") - F.col("__after_skip")).alias("skipped_rows"),
         (F.col("__after_skip") - F.col("inserted_rows")).alias("duplicate_rows"),
-        "inserted_rows",
+        "inserted_rows", "pairs_attempted", "pairs_skipped",
     )
 
 
