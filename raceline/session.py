@@ -75,16 +75,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    operator (a shared file system). Only when it is unset (local runs and
-    tests) a private scratch folder is created and registered.
+    operator (a shared file system). Only when it is unset on a local master
+    (tests, single-machine runs) a private scratch folder is created and
+    registered; on a cluster an unset value is an error, never a
+    machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:  # a Connect session has no SparkContext on the client
+        context = spark.sparkContext
+    except Exception:
+        context = None
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if context is not None:
+            context.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = context.master if context is not None else (spark.conf.get("spark.master", None) or "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="raceline-ckpt-", dir=os.environ.get("RACELINE_SCRATCH"))
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if context is not None:
+        context.setCheckpointDir(local)
     return local
