@@ -7,6 +7,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The gap text meaning "no value", and the letter that marks a
+# lapped car's gap ("+1 LAP").
+NO_VALUE_TEXT = "None"
+LAPPED_MARK = "L"
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -38,13 +44,13 @@ def epoch_seconds_between(a: Column | str, b: Column | str) -> Column:
 def strip_lapped(col: Column | str) -> Column:
     """Gap text of a lapped car (``'+1 LAP'``, any text with ``L``) -> NULL."""
     c = _c(col)
-    return F.when(c.contains("L"), F.lit(None).cast("string")).otherwise(c)
+    return F.when(c.contains(LAPPED_MARK), F.lit(None).cast("string")).otherwise(c)
 
 
 def clean_gap(col: Column | str) -> Column:
     """Staging rule for gap texts: ``'None'`` or anything with ``L`` -> NULL."""
     c = _c(col)
-    return F.when((c == "None") | c.contains("L"), F.lit(None).cast("string")).otherwise(c)
+    return F.when((c == NO_VALUE_TEXT) | c.contains(LAPPED_MARK), F.lit(None).cast("string")).otherwise(c)
 
 
 def nan_to_null(col: Column | str) -> Column:

@@ -22,6 +22,14 @@ STINT_BUCKET_LAPS = 8
 # Width of the distance blocks of the nearest-sample ranks.
 RANK_BLOCK_SECONDS = 60
 
+# Stint weather classes. Track temperature below 25 is Cold,
+# below 35 Medium, otherwise Hot; any rainfall above 0 is Wet, otherwise a
+# mean humidity above 70 is High Humidity, otherwise Dry.
+TRACK_COLD_BELOW, TRACK_MEDIUM_BELOW = 25, 35
+HUMID_ABOVE = 70
+TRACK_CLASSES = ("Cold", "Medium", "Hot")
+WEATHER_CLASSES = ("Wet", "High Humidity", "Dry")
+
 
 def int_best_laps(raw: Raw) -> DataFrame:
     return stg.stg_laps(raw).groupBy(*PAIR).agg(F.min("lap_duration").alias("fastest_lap"))
@@ -169,10 +177,13 @@ def int_tyre_stints_weather(raw: Raw) -> DataFrame:
         round_half_up("avg_humidity", 6).alias("avg_humidity"),
         "had_rainfall",
         round_half_up("avg_wind_speed", 6).alias("avg_wind_speed"),
-        F.when(track < 25, "Cold").when(track < 35, "Medium").otherwise("Hot").alias("track_temp_category"),
-        F.when(F.col("had_rainfall") > 0, "Wet")
-        .when(F.col("avg_humidity") > 70, "High Humidity")
-        .otherwise("Dry")
+        F.when(track < TRACK_COLD_BELOW, TRACK_CLASSES[0])
+        .when(track < TRACK_MEDIUM_BELOW, TRACK_CLASSES[1])
+        .otherwise(TRACK_CLASSES[2])
+        .alias("track_temp_category"),
+        F.when(F.col("had_rainfall") > 0, WEATHER_CLASSES[0])
+        .when(F.col("avg_humidity") > HUMID_ABOVE, WEATHER_CLASSES[1])
+        .otherwise(WEATHER_CLASSES[2])
         .alias("weather_condition"),
     )
 

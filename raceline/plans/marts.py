@@ -21,6 +21,10 @@ POINTS_BY_POSITION = [25, 18, 15, 12, 10, 8, 6, 4, 2, 1]
 # Laps per block of the running position fill.
 LAP_BLOCK = 16
 
+# Label formats. Driver in telemetry "ACR (Team)", driver in
+# lists "ACR - Full Name (Team)", session "YEAR - Country - Session name".
+LABEL_SEP, TEAM_OPEN, TEAM_CLOSE = " - ", " (", ")"
+
 
 def _points(position: str) -> F.Column:
     table = F.array(*[F.lit(p) for p in POINTS_BY_POSITION])
@@ -29,7 +33,9 @@ def _points(position: str) -> F.Column:
 
 
 def _driver_display_name() -> F.Column:
-    return concat_ignore_nulls("name_acronym", F.lit(" - "), "full_name", F.lit(" ("), "team_name", F.lit(")"))
+    return concat_ignore_nulls(
+        "name_acronym", F.lit(LABEL_SEP), "full_name", F.lit(TEAM_OPEN), "team_name", F.lit(TEAM_CLOSE)
+    )
 
 
 def final_car(raw: Raw) -> DataFrame:
@@ -39,7 +45,7 @@ def final_car(raw: Raw) -> DataFrame:
     car = it.int_car_base(raw).join(sessions, "session_key", "left").join(meetings, "s_meeting_key", "left")
     return car.select(
         "date",
-        concat_ignore_nulls("name_acronym", F.lit(" ("), "team_name", F.lit(")")).alias("driver"),
+        concat_ignore_nulls("name_acronym", F.lit(TEAM_OPEN), "team_name", F.lit(TEAM_CLOSE)).alias("driver"),
         "driver_number",
         F.round(F.col("speed").cast("double")).alias("speed"),
         F.round(F.col("throttle").cast("double")).alias("throttle"),
@@ -52,7 +58,8 @@ def final_session_mapping(raw: Raw) -> DataFrame:
     """``year || ' - ' || country || ' - ' || name`` (NULL if any part is)."""
     s = stg.stg_sessions(raw)
     label = F.concat(
-        F.year("date_start").cast("string"), F.lit(" - "), F.col("country_name"), F.lit(" - "), F.col("session_name")
+        F.year("date_start").cast("string"), F.lit(LABEL_SEP), F.col("country_name"), F.lit(LABEL_SEP),
+        F.col("session_name"),
     )
     return s.select(label.alias("session_display_name"), "session_key").distinct()
 
@@ -144,7 +151,7 @@ def final_session_filters(raw: Raw) -> DataFrame:
         sessions.join(meetings, (F.col("year") == F.col("m_year")) & (F.col("country_name") == F.col("m_country")), "inner")
         .withColumn(
             "session_display_name",
-            concat_ignore_nulls("year", F.lit(" - "), "country_name", F.lit(" - "), "session_name"),
+            concat_ignore_nulls("year", F.lit(LABEL_SEP), "country_name", F.lit(LABEL_SEP), "session_name"),
         )
         .select(*keys)
     )
