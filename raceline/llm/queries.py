@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raceline.llm import packing, secret_scan, token_counts
+from raceline.llm import chat_format, mixing, packing, secret_scan, token_counts
 from raceline.llm.common import read
 
 
@@ -15,6 +15,26 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(read(spark, sf_dir, "documents"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: What both turns of the conversation that the query adds say (fixed value).
+EXTRA_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(EXTRA_TEXT).alias("text"),
+    )
+    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(extra)))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -28,8 +48,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op7_best_fit_packing, op8_token_counts)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op5_chat_formatting, op7_best_fit_packing, op8_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_chat_formatting": chat_format.ORACLE_SQL}
