@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raceline.llm import chat_format, mixing, packing, secret_scan, token_counts
+from raceline.llm import chat_format, line_dedup, mixing, packing, secret_scan, token_counts
 from raceline.llm.common import read
 
 
@@ -24,6 +24,11 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 EXTRA_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -48,8 +53,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op5_chat_formatting, op7_best_fit_packing, op8_token_counts)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op5_chat_formatting, op7_best_fit_packing, op8_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_formatting": chat_format.ORACLE_SQL}
+    return {"op3_line_dedup": line_dedup.ORACLE_SQL, "op5_chat_formatting": chat_format.ORACLE_SQL}
