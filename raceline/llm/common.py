@@ -5,7 +5,10 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from raceline.session import checkpoint_dir
@@ -49,3 +52,28 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The groups of rows that stand together by ``keys`` in a stream of
+    batches (partitions sorted by the keys), one table each. Only the current
+    group and batch are held."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        columns = [np.asarray(b.column(b.schema.get_field_index(k))) for k in keys]
+        new = np.zeros(b.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        starts = [0, *np.flatnonzero(new).tolist(), b.num_rows]
+        for i, (start, end) in enumerate(zip(starts, starts[1:])):
+            part = b.slice(start, end - start)
+            if i == 0 and held and all(held[-1].column(k)[-1] == part.column(k)[0] for k in keys):
+                held.append(part)
+                continue
+            if held:
+                yield pa.Table.from_batches(held)
+            held = [part]
+    if held:
+        yield pa.Table.from_batches(held)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raceline.llm import chat_format, line_dedup, mixing, packing, secret_scan, token_counts
+from raceline.llm import chat_format, line_dedup, mixing, ngram_join, packing, secret_scan, token_counts
 from raceline.llm.common import read
 
 
@@ -40,6 +40,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(turns.unionByName(extra)))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(read(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -53,8 +57,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op5_chat_formatting, op7_best_fit_packing, op8_token_counts)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": line_dedup.ORACLE_SQL, "op5_chat_formatting": chat_format.ORACLE_SQL}
+    return {
+        "op3_line_dedup": line_dedup.ORACLE_SQL,
+        "op5_chat_formatting": chat_format.ORACLE_SQL,
+        "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
+    }
