@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raceline.llm import chat_format, line_dedup, mixing, ngram_join, packing, secret_scan, token_counts
+from raceline.llm import chat_format, line_dedup, mixing, ngram_join, packing, quality, secret_scan, token_counts
 from raceline.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -57,7 +61,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op4_quality_classifier, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
