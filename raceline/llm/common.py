@@ -77,3 +77,26 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterato
             held = [part]
     if held:
         yield pa.Table.from_batches(held)
+
+
+def slabs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Whole groups of rows by ``keys`` in a stream of sorted batches, as many
+    at once as a batch holds. Only a batch and the group that it breaks off in
+    are held."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        same = np.ones(b.num_rows, bool)  # rows of the last group
+        for k in keys:
+            c = b.column(k)
+            same &= np.asarray(c) == c[-1].as_py()
+        cut = b.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+        if cut or (held and any(held[-1].column(k)[-1] != b.column(k)[0] for k in keys)):
+            if held or cut:
+                yield pa.Table.from_batches([*held, b.slice(0, cut)])
+            held = [b.slice(cut)]
+        else:
+            held.append(b)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raceline.llm import chat_format, line_dedup, mixing, ngram_join, packing, quality, secret_scan, token_counts
+from raceline.llm import binary_codes, chat_format, line_dedup, mixing, ngram_join, packing, quality, secret_scan, token_counts
 from raceline.llm.common import read
 
 
@@ -60,8 +60,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_codes.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op4_quality_classifier, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op4_quality_classifier, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -69,4 +73,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": line_dedup.ORACLE_SQL,
         "op5_chat_formatting": chat_format.ORACLE_SQL,
         "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
+        "op10_embedding_near_dedup": binary_codes.ORACLE_SQL,
     }
