@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raceline.llm import binary_codes, chat_format, line_dedup, mixing, ngram_join, packing, quality, secret_scan, token_counts
+from raceline.llm import binary_codes, chat_format, line_dedup, mixing, neighbour_graph, ngram_join, packing, quality, secret_scan, token_counts
 from raceline.llm.common import read
 
 
@@ -60,12 +60,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op4_quality_classifier, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op4_quality_classifier, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts, op9_nearest_neighbours, op10_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

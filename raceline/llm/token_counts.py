@@ -13,12 +13,18 @@ encoding of that one cut chunk, never of the text.
 
 The tokens of a chunk come from the tokenizers library itself and are kept in
 a bounded table per worker, as words repeat. Special strings hold no white
-space, so they are met inside a chunk and handled as the library does.
+space, so they are met inside a chunk and handled as the library does. Chunks
+of ASCII and Latin-1 letters go straight to the library's BPE model, past its
+normalizer and splitter, whose rules are plain for these characters.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import sys
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,12 +37,21 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
+# Splitter and byte alphabet of the vocabulary (fixed values of its format).
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+_PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^a-z0-9\u00DF-\u00F6\u00F8-\u00FF]+")
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTE_CHARS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
 class ChunkEncoder(dict):
     """Chunk (UTF-8 bytes) -> its token ids as little-endian unsigned 32-bit
-    bytes. Long chunks are encoded each time; the table starts afresh when it
-    holds ``max_entries``, so a worker's memory is bounded."""
+    bytes. Long chunks are encoded each time. When the table holds
+    ``max_entries`` it becomes the older generation, from which chunks that
+    are met again move on, so a worker's memory is bounded."""
 
-    def __init__(self, tokenizer: str, max_entries: int = 400_000, longest: int = 64):
+    def __init__(self, tokenizer: str, max_entries: int = 300_000, longest: int = 64):
         super().__init__()
         from tokenizers import Tokenizer
 
@@ -48,23 +63,53 @@ class ChunkEncoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.max_entries, self.longest = max_entries, longest
+        self.older: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        steps = json.loads(self.tokenizer.to_str())
+        splitters = (steps["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        normalizers = (steps["normalizer"] or {}).get("normalizers", [])
+        self.special = [t["content"] for t in steps["added_tokens"]]
+        self.plain = (
+            [n["type"] for n in normalizers] == ["NFC", "Replace", "Lowercase"]
+            and splitters[0].get("pattern") == {"Regex": SPLIT_PATTERN}
+            and [s["type"] for s in splitters] == ["Split", "ByteLevel"]
+        )
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
-        packed = np.asarray(ids, "<u4").tobytes()
+        packed = self.older.get(chunk)
+        if packed is None:
+            packed = self._encoded(chunk)
         if len(chunk) <= self.longest:
             if len(self) >= self.max_entries:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = packed
         return packed
 
+    def _encoded(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        words = [text]
+        if plain := self.plain and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            words = _PLAIN_SPLIT.findall(text.lower())
+        if len(words) > 1:
+            return b"".join([self[w.encode()] for w in words])
+        if plain:
+            word = words[0] if chunk.isascii() else words[0].encode().decode("latin-1").translate(_BYTE_CHARS)
+            ids = [t.id for t in self.model.tokenize(word)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
+
+    def chunks(self, text: bytes) -> list[bytes]:
+        # Lower case here only saves entries; it must not make a special string.
+        return (text if b"<" in text else text.lower()).split()
+
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split()))
+        return b"".join(map(self.__getitem__, self.chunks(text.encode())))
 
     def prefix_counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ends of the chunks (bytes) and the token count of each such prefix."""
-        chunks = text.split()
-        counts = np.cumsum(np.fromiter((len(self[c]) for c in chunks), np.int64, len(chunks)) // 4)
+        counts = np.cumsum(np.fromiter(map(len, map(self.__getitem__, self.chunks(text))), np.int64) // 4)
         white = _WHITE[np.frombuffer(text, np.uint8)]
         ends = np.flatnonzero(~white & np.append(white[1:], True)) + 1
         return ends, counts
