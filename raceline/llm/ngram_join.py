@@ -105,7 +105,7 @@ def _first_pass(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame
     """Sets of all documents: ``doc_id``, ``text_key``, ``n``, ``node``; and
     the frequency class of each counter."""
     table = docs.select(
-        F.col("doc_id"), _text_key(F.col(text)).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text")
+        F.col("doc_id"), text_key(F.col(text)).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     parts = 64
 
@@ -145,7 +145,7 @@ def _first_pass(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame
     return both.where("part is null").select("doc_id", "text_key", "n", "node"), classes
 
 
-def _text_key(text: Column) -> Column:
+def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(5))
 
 
@@ -312,7 +312,7 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     # The text of one document of each node goes to the pairs of its block.
     one = sets.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
     wanted = blocks.join(one, "node").select("node", "block", F.col("one.doc_id").alias("id"), "one.text_key")
-    rows = docs.select("doc_id", _text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
+    rows = docs.select("doc_id", text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
     texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["text_key"])).select("node", "block", "text")
     meet = pairs.select(F.col("block").alias("b"), F.lit(0).alias("side"), "block", "other").unionAll(
         pairs.where("block <> other").select(F.col("other").alias("b"), F.lit(1).alias("side"), "block", "other")

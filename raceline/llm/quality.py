@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from raceline.llm.common import Scratch
 
@@ -205,18 +206,43 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", shrin
     for one doc_id, are left out. Null texts are empty; empty texts are
     scored like others. Without two labelled rows of each class every score
     is 0.5. Repeated rows give repeated rows; an empty table none."""
-    scratch = Scratch(docs.sparkSession, "quality")
-    table = scratch.write(feature_table(docs, text), "features")
-    agreed = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("most"))
-    agreed = agreed.where("label = most and label in (0, 1)").select("doc_id", F.col("label").cast("long").alias("label"))
-    model = fit(table.where(~held_out()).join(agreed, "doc_id"), shrinkage)
+    table, model = _fitted(docs, labels, text, shrinkage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.asarray(b.column(1).flatten()).reshape(-1, len(FEATURES))
-            score = model.score(x) if model else np.full(len(x), 0.5)
+            score = _scores(model, np.asarray(b.column(1).flatten()).reshape(-1, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = table.select("doc_id", "x").mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _scores(model: Discriminant | None, x: np.ndarray) -> np.ndarray:
+    return model.score(x) if model else np.full(len(x), 0.5)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, text: str, shrinkage: float) -> tuple[DataFrame, Discriminant | None]:
+    scratch = Scratch(docs.sparkSession, "quality")
+    table = scratch.write(feature_table(docs, text), "features")
+    agreed = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("most"))
+    agreed = agreed.where("label = most and label in (0, 1)").select("doc_id", F.col("label").cast("long").alias("label"))
+    return table, fit(table.where(~held_out()).join(agreed, "doc_id"), shrinkage)
+
+
+def quality_rows(docs: DataFrame, labels: DataFrame, text: str = "text", shrinkage: float = 0.03) -> DataFrame:
+    """The documents themselves with ``score`` and ``predicted`` (input
+    columns of these names are replaced), as ``quality_scores`` defines them.
+    The rows are scored where they are read, without a shuffle."""
+    rows = docs.drop("score", "predicted")
+    _, model = _fitted(docs, labels, text, shrinkage)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text))
+            x = np.array([features(t.as_py() or "") for t in texts]).reshape(-1, len(FEATURES))
+            score = _scores(model, x)
+            added = [pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *added], names=[*b.schema.names, "score", "predicted"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
