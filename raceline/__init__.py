@@ -9,8 +9,7 @@ operators/  reusable DataFrame operators (conform, dedup, incremental anti
 functions/  column expressions (null-ignoring concat, decimal rounding, ...)
 plans/      the model DAG: staging -> intermediate -> marts, plus the
             dataset loaders built from the operators
-streaming/  a Structured Streaming driver that feeds landing files through
-            the batch loaders
+llm/        operators that prepare language-model training data (optional)
 """
 
 __all__ = ["session", "schemas"]

@@ -24,13 +24,16 @@ def concat_ignore_nulls(*parts: Column | str) -> Column:
 
 
 def round_half_up(col: Column | str, digits: int) -> Column:
-    """``round(x::numeric, n)``: fix the value to 9 decimals, round half away
-    from zero on the decimal, return a double. Results do not depend on the
-    last bits of a floating-point sum, so engines that add in another order
-    still agree."""
+    """``round(x::numeric, n)``: the value as decimal (9 decimals), rounded
+    half away from zero, as double."""
     return F.round(_c(col).cast("decimal(38,9)"), digits).cast("double")
 
 
+def exact_sum(col: Column | str) -> Column:
+    """Sum over decimals of 9 digits: the same in any order of the rows."""
+    return F.sum(_c(col).cast("decimal(28,9)"))
+
+
 def add_seconds(ts: Column | str, seconds: Column | str) -> Column:
     """``ts + interval '1 second' * seconds`` with microsecond precision."""
     return _c(ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), _c(seconds).cast("decimal(18,6)"))

@@ -13,7 +13,7 @@ depend on the bucket width (only the cost does).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,3 +124,69 @@ def interval_left_aggregate(
     cols += [F.col(f"p.`{c}`") for c in points.columns if c not in keys and c != _BUCKET]
     joined = r.join(p, cond, "left").select(*cols)
     return joined.groupBy(*group_by).agg(*aggs)
+
+
+#: Blocks of a coarser level hold so many of the finer one.
+LEVEL_FACTOR = 8
+
+
+def _cover(first: Column, end: Column, levels: int) -> Column:
+    """Blocks [first, end) of the finest level as the fewest aligned blocks of
+    all levels: array of (level, block)."""
+    parts, a, b = [], first, end
+    for level in range(levels):
+        up = F.ceil(a / F.lit(LEVEL_FACTOR)).cast("long")
+        down = F.floor(b / F.lit(LEVEL_FACTOR)).cast("long")
+        last = F.lit(level == levels - 1)
+        inner = ~last & (up < down)
+
+        def span(lo: Column, hi: Column, level: int = level) -> Column:
+            blocks = F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<bigint>"))
+            return F.transform(blocks, lambda x: F.struct(F.lit(level).alias("level"), x.alias("block")))
+
+        parts += [span(a, F.when(inner, up * LEVEL_FACTOR).otherwise(b)), span(F.when(inner, down * LEVEL_FACTOR).otherwise(b), b)]
+        a, b = F.when(inner, up).otherwise(F.lit(0)), F.when(inner, down).otherwise(F.lit(0))
+    return F.concat(*parts)
+
+
+def range_aggregate(
+    ranges: DataFrame,
+    points: DataFrame,
+    keys: Sequence[str],
+    point: str,
+    lo: str,
+    hi: str,
+    width: float,
+    partials: dict[str, tuple[Column, Callable[[str], Column]]],
+    levels: int = 5,
+) -> DataFrame:
+    """``ranges`` (distinct rows) with aggregates over the points in ``[lo, hi]``,
+    NULL (sums, max) for a range without points. ``partials``: name -> (the
+    aggregate over points, the function that merges two of them).
+
+    The points are aggregated once per block of ``width`` and once per
+    coarser block. A range takes the coarsest blocks inside it as one row
+    each (a few per level) and reads single points only in the two finest
+    blocks that hold its ends."""
+    columns = ranges.columns
+    axis, is_time = _axis(points, point)
+    w = _width(is_time, width)
+    located = points.withColumn(_BUCKET, _bucket_of(axis, w))
+    finest = located.groupBy(*keys, F.col(_BUCKET).alias("block")).agg(*[a.alias(n) for n, (a, _) in partials.items()])
+    blocks, level_rows = finest.select(*keys, F.lit(0).alias("level"), "block", *partials), finest
+    for level in range(1, levels):
+        coarse = F.floor(F.col("block") / F.lit(LEVEL_FACTOR)).cast("long").alias("block")
+        level_rows = level_rows.groupBy(*keys, coarse).agg(*[m(n).alias(n) for n, (_, m) in partials.items()])
+        blocks = blocks.unionByName(level_rows.select(*keys, F.lit(level).alias("level"), "block", *partials))
+
+    first, last = (_bucket_of(_axis(ranges, c)[0], w) for c in (lo, hi))
+    bounded = ranges.where(F.col(lo) <= F.col(hi)).withColumns({"__first": first, "__last": last})
+    whole = bounded.withColumn("__x", F.explode(_cover(F.col("__first") + 1, F.col("__last"), levels)))
+    whole = whole.select(*columns, F.col("__x.level").alias("level"), F.col("__x.block").alias("block"))
+    of_blocks = whole.join(blocks, [*keys, "level", "block"]).select(*columns, *partials)
+
+    ends = bounded.withColumn(_BUCKET, F.explode(F.array_distinct(F.array("__first", "__last")))).drop("__first", "__last")
+    inside = ends.join(located, [*keys, _BUCKET]).where((F.col(point) >= F.col(lo)) & (F.col(point) <= F.col(hi)))
+    of_ends = inside.groupBy(*columns).agg(*[a.alias(n) for n, (a, _) in partials.items()])
+    merged = of_blocks.unionByName(of_ends).groupBy(*columns).agg(*[m(n).alias(n) for n, (_, m) in partials.items()])
+    return ranges.join(merged, columns, "left")

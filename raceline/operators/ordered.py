@@ -72,16 +72,21 @@ def blocked_running_max(
     return out.drop(*[f"__prev_{o}" for o in values])
 
 
-def blocked_row_number(
-    df: DataFrame, keys: Sequence[str], block: str, order: Sequence[Column], out: str, materialize: bool = False
+def blocked_row_numbers(
+    df: DataFrame, keys: Sequence[str], numbers: dict[str, tuple[Column, Sequence[Column]]], materialize: bool = True
 ) -> DataFrame:
-    """Add ``out = row_number() over (partition by keys order by order)``."""
+    """Add ``out = row_number() over (partition by keys order by order)`` for
+    each ``out: (block, order)``, all from one materialisation of ``df``."""
+    names = {out: f"__block_{out}" for out in numbers}
+    df = df.withColumns({names[out]: block for out, (block, _) in numbers.items()})
     if materialize:
         df = _materialized(df)
-    counts = df.groupBy(*keys, block).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        *keys, block, F.coalesce(F.sum("__n").over(_prefix_window(keys, block)), F.lit(0)).alias("__offset")
-    )
-    inside = Window.partitionBy(*keys, block).orderBy(*order)
-    ranked = join_null_safe(df, offsets, [*keys, block], "inner")
-    return ranked.withColumn(out, (F.row_number().over(inside) + F.col("__offset")).cast("long")).drop("__offset")
+    ranked = df
+    for out, (_, order) in numbers.items():
+        block = names[out]
+        counts = df.groupBy(*keys, block).agg(F.count(F.lit(1)).alias("__n"))
+        before = F.coalesce(F.sum("__n").over(_prefix_window(keys, block)), F.lit(0))
+        ranked = join_null_safe(ranked, counts.select(*keys, block, before.alias("__offset")), [*keys, block], "inner")
+        inside = Window.partitionBy(*keys, block).orderBy(*order)
+        ranked = ranked.withColumn(out, (F.row_number().over(inside) + F.col("__offset")).cast("long")).drop("__offset")
+    return ranked.drop(*names.values())

@@ -16,13 +16,20 @@ def session_driver_roster(sessions: DataFrame, drivers: DataFrame) -> DataFrame:
     return sessions.select("session_key").distinct().join(entries, "session_key", "inner").select(*PAIR).distinct()
 
 
-def session_driver_pairs(sessions: DataFrame, drivers: DataFrame) -> DataFrame:
-    """Work units of the telemetry backfill: every selected session with each
-    car entered in it. (The loaders asked for every session x every car
-    number ever seen; the extra pairs can only return empty payloads, so the
-    units are the session roster, built by an equi join instead of a
-    Cartesian product.)"""
-    return session_driver_roster(sessions, drivers)
+def landed_of(landed: DataFrame, sessions: DataFrame, drivers: DataFrame) -> DataFrame:
+    """Landed rows of the selected sessions and of cars known from any
+    session: two semi joins, as the loaders ask for every known car in every
+    session and payloads without rows bring nothing."""
+    known = drivers.select("driver_number").filter(F.col("driver_number").isNotNull()).distinct()
+    chosen = sessions.select("session_key").distinct()
+    return landed.join(chosen, "session_key", "left_semi").join(known, "driver_number", "left_semi")
+
+
+def session_driver_pairs(sessions: DataFrame, drivers: DataFrame, landed: DataFrame) -> DataFrame:
+    """Work units of the telemetry backfill: the (session, car) pairs that
+    have landed rows, of the selected sessions and all known cars. (No table
+    of sessions x cars is built.)"""
+    return landed_of(landed.select(*PAIR), sessions, drivers).select(*PAIR).distinct()
 
 
 def hour_chunks(sessions: DataFrame, start: str = "date_start", end: str = "date_end", hours: int = 1) -> DataFrame:

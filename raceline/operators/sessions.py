@@ -34,12 +34,12 @@ def sessions_one_type(sessions: DataFrame, types: Sequence[str] = ("Race",)) ->
 
 
 def sessions_by_name(sessions: DataFrame, tokens: Sequence[str] = NAME_TOKENS) -> DataFrame:
-    """Session name contains any token (case-sensitive)."""
+    """Session name contains any token (case-sensitive), and a key."""
     name = F.coalesce(F.col("session_name"), F.lit(""))
     cond = F.lit(False)
     for token in tokens:
         cond = cond | name.contains(token)
-    return sessions.filter(cond)
+    return sessions.filter(cond & _truthy_key())
 
 
 def session_limit(sessions: DataFrame, n: int | None) -> DataFrame:

@@ -56,11 +56,8 @@ class Setting:
         return ledger.read_ledger(self.spark, path)
 
     def car_ledger(self) -> DataFrame:
-        done = pairs.session_driver_pairs(
-            sel.sessions_one_type(self.sessions, sel.RACE_TYPES).join(self.loaded_sessions(), "session_key", "left_semi"),
-            self.raw["drivers"],
-        )
-        return self.ledger(done)
+        chosen = sel.sessions_one_type(self.sessions, sel.RACE_TYPES).join(self.loaded_sessions(), "session_key", "left_semi")
+        return self.ledger(pairs.session_driver_pairs(chosen, self.raw["drivers"], self.raw["car_data"]))
 
     def location_ledger(self, cutoff: str = fixtures.LOADED_CUTOFF) -> DataFrame:
         done = pairs.session_driver_roster(
@@ -106,12 +103,12 @@ def hour_chunks_view(s: Setting) -> DataFrame:
 
 def chunk_filter_view(s: Setting) -> DataFrame:
     chosen = sel.sessions_one_type(s.sessions, sel.RACE_TYPES)
-    work = pairs.session_driver_pairs(chosen, s.raw["drivers"])
+    work = pairs.session_driver_pairs(chosen, s.raw["drivers"], s.raw["car_data"])
     return pairs.chunk_filter(s.raw["car_data"], chosen, work)
 
 
 def ledger_skip_view(s: Setting) -> DataFrame:
-    work = pairs.session_driver_pairs(sel.sessions_one_type(s.sessions, sel.RACE_TYPES), s.raw["drivers"])
+    work = pairs.session_driver_pairs(sel.sessions_one_type(s.sessions, sel.RACE_TYPES), s.raw["drivers"], s.raw["car_data"])
     return ledger.ledger_skip(work, s.car_ledger())
 
 
@@ -152,9 +149,11 @@ VIEWS = {
         s.raw["team_radio"], s.target("team_radio"), loaders.DEDUP_KEYS["team_radio"]
     ),
     "session_driver_pairs": lambda s: pairs.session_driver_pairs(
-        sel.sessions_one_type(s.sessions, sel.RACE_TYPES), s.raw["drivers"]
+        sel.sessions_one_type(s.sessions, sel.RACE_TYPES), s.raw["drivers"], s.raw["car_data"]
+    ),
+    "session_driver_roster": lambda s: pairs.session_driver_roster(
+        sel.sessions_by_type(s.sessions, check_key=False), s.raw["drivers"]
     ),
-    "session_driver_roster": lambda s: pairs.session_driver_roster(sel.sessions_by_type(s.sessions), s.raw["drivers"]),
     "hour_chunks": hour_chunks_view,
     "chunk_filter": chunk_filter_view,
     "ledger_skip": ledger_skip_view,

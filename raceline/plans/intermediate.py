@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from raceline.functions.columns import epoch_seconds_between, round_half_up, strip_lapped
-from raceline.operators.interval_join import interval_join, interval_left_aggregate
-from raceline.operators.ordered import blocked_row_number
+from raceline.functions.columns import epoch_seconds_between, exact_sum, strip_lapped
+from raceline.operators.interval_join import interval_join, range_aggregate
+from raceline.operators.ordered import blocked_row_numbers
 from raceline.plans import staging as stg
 from raceline.plans.staging import Raw
 
 PAIR = ["session_key", "driver_number"]
 
 # Bucket widths of the interval joins. They change cost only, never results:
-# about one lap (time in lap), one stint hour (weather in stint), one stint
-# of laps (lap number in stint).
+# about one lap (time in lap), the finest block of weather in stint, one
+# stint of laps (lap number in stint).
 LAP_BUCKET_SECONDS = 900
-STINT_BUCKET_SECONDS = 3600
+WEATHER_BLOCK_SECONDS = 60
 STINT_BUCKET_LAPS = 8
 # Width of the distance blocks of the nearest-sample ranks.
 RANK_BLOCK_SECONDS = 60
@@ -27,8 +27,6 @@ RANK_BLOCK_SECONDS = 60
 # mean humidity above 70 is High Humidity, otherwise Dry.
 TRACK_COLD_BELOW, TRACK_MEDIUM_BELOW = 25, 35
 HUMID_ABOVE = 70
-TRACK_CLASSES = ("Cold", "Medium", "Hot")
-WEATHER_CLASSES = ("Wet", "High Humidity", "Dry")
 
 
 def int_best_laps(raw: Raw) -> DataFrame:
@@ -80,32 +78,21 @@ def lap_position_samples(raw: Raw) -> DataFrame:
     )
 
 
-def int_lap_position(raw: Raw, skew_safe: bool = False) -> DataFrame:
+def int_lap_position(raw: Raw) -> DataFrame:
     """Position samples inside each lap with the nearest-sample ranks to the
     lap start and end (ties: smaller position, then earlier sample).
 
-    The ranks number every sample, so each lap's samples are sorted in one
-    task (one shuffle by lap, two sorts; the sort spills). ``skew_safe=True``
-    ranks per block of RANK_BLOCK_SECONDS of distance plus the sample count
-    of the nearer blocks instead, so a lap with a huge number of samples is
-    ranked by many tasks; it is exact but costs a checkpoint and a second
-    shuffle of the samples per rank.
+    A lap's samples are numbered in blocks of RANK_BLOCK_SECONDS of distance,
+    each shifted by the samples of the nearer blocks, so no task sorts a whole
+    lap. The samples are materialised once for both ranks.
     """
-    inside = lap_position_samples(raw)
     keys = [*PAIR, "lap_number"]
     tie = [F.col("position").asc_nulls_last(), F.col("date").asc_nulls_last(), F.col("date_start").asc_nulls_last()]
-    ranks = (("start_time_diff", "start_position_rank"), ("end_time_diff", "end_position_rank"))
-    if skew_safe:
-        for diff, rank in ranks:
-            inside = blocked_row_number(
-                inside.withColumn("__block", F.floor(F.col(diff) / RANK_BLOCK_SECONDS)),
-                keys, "__block", [F.col(diff).asc_nulls_last(), *tie], rank, materialize=True,
-            ).drop("__block")
-    else:
-        lap = Window.partitionBy(*keys)
-        for diff, rank in ranks:
-            rn = F.row_number().over(lap.orderBy(F.col(diff).asc_nulls_last(), *tie))
-            inside = inside.withColumn(rank, rn.cast("long"))
+    ranks = {"start_position_rank": "start_time_diff", "end_position_rank": "end_time_diff"}
+    blocks = {diff: F.floor(F.col(diff) / RANK_BLOCK_SECONDS) for diff in ranks.values()}
+    inside = blocked_row_numbers(
+        lap_position_samples(raw), keys, {rank: (blocks[diff], [F.col(diff).asc_nulls_last(), *tie]) for rank, diff in ranks.items()}
+    )
     return inside.select(
         *PAIR, "position", "date", "lap_number", "date_start", "date_end", "start_time_diff", "end_time_diff",
         "start_position_rank", "end_position_rank",
@@ -152,38 +139,31 @@ def int_tyre_stint_laps(raw: Raw) -> DataFrame:
 
 def int_tyre_stints_weather(raw: Raw) -> DataFrame:
     """Mean weather inside each stint window; no sample -> NULL means, which
-    classify as 'Hot' and 'Dry'. Means are reported to 6 decimals."""
-    windows = int_tyre_stint_laps(raw)
-    weather = stg.stg_weather(raw).select(
-        "session_key", "date", "air_temperature", "track_temperature", "humidity", "rainfall", "wind_speed"
-    )
-    keys = [*PAIR, "stint_number", "compound", "lap_start", "lap_end", "stint_length"]
-    agg = interval_left_aggregate(
-        windows, weather, ["session_key"], "date", "stint_start_time", "stint_end_time", STINT_BUCKET_SECONDS,
-        group_by=keys,
-        aggs=[
-            F.avg("air_temperature").alias("avg_air_temp"),
-            F.avg("track_temperature").alias("avg_track_temp"),
-            F.avg("humidity").alias("avg_humidity"),
-            F.max("rainfall").alias("had_rainfall"),
-            F.avg("wind_speed").alias("avg_wind_speed"),
-        ],
+    classify as 'Hot' and 'Dry'.
+
+    Stints with the same window share one computation, and a window takes
+    whole time blocks as one row each, so the joined rows grow with windows
+    and samples and not with their product. The means divide exact sums."""
+    stints = int_tyre_stint_laps(raw)
+    window = ["session_key", "stint_start_time", "stint_end_time"]
+    measures = {"air_temperature": "avg_air_temp", "track_temperature": "avg_track_temp", "humidity": "avg_humidity", "wind_speed": "avg_wind_speed"}
+    weather = stg.stg_weather(raw).select("session_key", "date", "rainfall", *measures)
+    partials = {f"sum_{c}": (exact_sum(c), F.sum) for c in measures}
+    partials |= {f"n_{c}": (F.count(c), F.sum) for c in measures}
+    partials["had_rainfall"] = (F.max("rainfall"), F.max)
+    totals = range_aggregate(
+        stints.select(*window).distinct(), weather, ["session_key"], "date", "stint_start_time", "stint_end_time", WEATHER_BLOCK_SECONDS, partials
     )
+    means = [(F.col(f"sum_{c}").cast("double") / F.when(F.col(f"n_{c}") > 0, F.col(f"n_{c}"))).alias(out) for c, out in measures.items()]
+    conditions = totals.select(*window, *means, "had_rainfall")
     track = F.col("avg_track_temp")
-    return agg.select(
-        *keys,
-        round_half_up("avg_air_temp", 6).alias("avg_air_temp"),
-        round_half_up("avg_track_temp", 6).alias("avg_track_temp"),
-        round_half_up("avg_humidity", 6).alias("avg_humidity"),
-        "had_rainfall",
-        round_half_up("avg_wind_speed", 6).alias("avg_wind_speed"),
-        F.when(track < TRACK_COLD_BELOW, TRACK_CLASSES[0])
-        .when(track < TRACK_MEDIUM_BELOW, TRACK_CLASSES[1])
-        .otherwise(TRACK_CLASSES[2])
-        .alias("track_temp_category"),
-        F.when(F.col("had_rainfall") > 0, WEATHER_CLASSES[0])
-        .when(F.col("avg_humidity") > HUMID_ABOVE, WEATHER_CLASSES[1])
-        .otherwise(WEATHER_CLASSES[2])
+    return stints.join(conditions, window, "left").select(
+        *PAIR, "stint_number", "compound", "lap_start", "lap_end", "stint_length",
+        "avg_air_temp", "avg_track_temp", "avg_humidity", "had_rainfall", "avg_wind_speed",
+        F.when(track < TRACK_COLD_BELOW, "Cold").when(track < TRACK_MEDIUM_BELOW, "Medium").otherwise("Hot").alias("track_temp_category"),
+        F.when(F.col("had_rainfall") > 0, "Wet")
+        .when(F.col("avg_humidity") > HUMID_ABOVE, "High Humidity")
+        .otherwise("Dry")
         .alias("weather_condition"),
     )
 

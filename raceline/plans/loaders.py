@@ -162,7 +162,7 @@ def load_location(
     """Location samples of the session rosters (Race/Qualifying), pairs
     already in the target skipped, payloads missing a required column
     dropped, duplicates on (car, session, x, y, z) removed (date ignored)."""
-    pairs = session_driver_roster(sessions_by_type(sessions), drivers)
+    pairs = session_driver_roster(sessions_by_type(sessions, check_key=False), drivers)
     pairs = anti_by_pair(pairs, target)
     return nan_to_null_all(_location_rows(landing, pairs))
 
@@ -184,8 +184,10 @@ def load_location_resume(
     return nan_to_null_all(_location_rows(landing, pairs))
 
 
-def car_data_pairs(sessions: DataFrame, drivers: DataFrame, ledger: DataFrame, types: Sequence[str] = ("Race", "Qualifying")) -> DataFrame:
-    return ledger_skip(session_driver_pairs(sessions_one_type(sessions, types), drivers), ledger)
+def car_data_pairs(
+    landing: DataFrame, sessions: DataFrame, drivers: DataFrame, ledger: DataFrame, types: Sequence[str] = ("Race", "Qualifying")
+) -> DataFrame:
+    return ledger_skip(session_driver_pairs(sessions_one_type(sessions, types), drivers, _clean(landing)), ledger)
 
 
 def load_car_data(
@@ -199,8 +201,8 @@ def load_car_data(
     """Telemetry of the open (session, car) pairs, gathered per hour chunk of
     each session (``request_from <= date < request_to``)."""
     chosen = sessions_one_type(sessions, types)
-    pairs = ledger_skip(session_driver_pairs(chosen, drivers), ledger)
     samples = conform_fill(_clean(landing), schemas.RAW["car_data"])
+    pairs = ledger_skip(session_driver_pairs(chosen, drivers, samples), ledger)
     inside = chunk_filter(samples, chosen, pairs, hours)
     return nan_to_null_all(conform_fill(inside, schemas.RAW["car_data"]))
 
@@ -251,7 +253,7 @@ def run_car_data_backfill(
     pairs loaded."""
     checkpoint_dir(spark)
     ledger = read_ledger(spark, ledger_path)
-    candidates = car_data_pairs(sessions, drivers, ledger, types)
+    candidates = car_data_pairs(landing, sessions, drivers, ledger, types)
 
     def rows_of(open_pairs: DataFrame) -> DataFrame:
         return load_car_data(landing, ledger, sessions, drivers, types).join(open_pairs, PAIR, "left_semi")

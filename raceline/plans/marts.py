@@ -155,16 +155,11 @@ def final_session_filters(raw: Raw) -> DataFrame:
         )
         .select(*keys)
     )
-    # GROUP BY the session attributes: identical rows (duplicate sessions or
-    # meetings) collapse, their driver lists merge.
-    return (
-        joined.join(per_session, "session_key", "inner")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("available_driver_names")))).alias("available_driver_names"))
-        .select(
-            "session_key", "year", "country_name", "circuit_short_name", "session_name", "session_type",
-            "session_display_name", "available_driver_names", "meeting_name", "meeting_official_name", "date_start",
-        )
+    # Identical rows (duplicate sessions or meetings) collapse; their driver
+    # list is that of the session key, which is among the columns.
+    return joined.distinct().join(per_session, "session_key", "inner").select(
+        "session_key", "year", "country_name", "circuit_short_name", "session_name", "session_type",
+        "session_display_name", "available_driver_names", "meeting_name", "meeting_official_name", "date_start",
     )
 
 
@@ -185,7 +180,7 @@ def final_tyre_performance(raw: Raw) -> DataFrame:
     )
 
 
-def final_historical_analysis(raw: Raw, skew_safe: bool = False) -> DataFrame:
+def final_historical_analysis(raw: Raw) -> DataFrame:
     """One row per lap: first recorded position, gap range during the lap and
     start/end positions (lap 1 = first recorded position; otherwise the lap's
     own nearest sample, else the running MAX so far, else the first
@@ -195,8 +190,8 @@ def final_historical_analysis(raw: Raw, skew_safe: bool = False) -> DataFrame:
     interval join (min/max do not care how often a lap row repeats), and the
     start/end samples are picked in one grouped pass; the lap rows are then
     joined once to each per-lap result instead of fanning out the samples.
-    ``skew_safe=True`` computes the running fill per block of laps (exact; a
-    driver with an enormous number of laps is not sorted in one task).
+    The running fill goes by blocks of laps, so no task sorts all laps of a
+    car.
     """
     laps = stg.stg_laps(raw).select(
         *PAIR, "lap_number", "date_start", "date_end", "is_pit_out_lap",
@@ -209,7 +204,7 @@ def final_historical_analysis(raw: Raw, skew_safe: bool = False) -> DataFrame:
         .filter(F.col("rn") == 1)
         .select(*PAIR, F.col("position").alias("first_position"))
     )
-    lap_key = [*PAIR, "lap_number", "date_start", "date_end"]
+    lap_key = [*PAIR, "date_start", "date_end"]
     # Duplicate lap rows fall into the same group and min/max are idempotent,
     # so the lap ranges need no DISTINCT (and no shuffle for it).
     gaps = interval_left_aggregate(
@@ -245,26 +240,16 @@ def final_historical_analysis(raw: Raw, skew_safe: bool = False) -> DataFrame:
         .join(ends, [*PAIR, "lap_number"], "left")
         .dropDuplicates()
     )
-    if skew_safe:
-        # Start/end positions depend on (session, driver, lap_number) only:
-        # the running MAX is computed on one row per lap number, per block of
-        # LAP_BLOCK laps plus a prefix over the blocks, and joined back.
-        lap_numbers = laps.select(*PAIR, "lap_number").distinct().join(ends, [*PAIR, "lap_number"], "left")
-        running = blocked_running_max(
-            lap_numbers.withColumn("__lap_block", F.floor(F.col("lap_number") / LAP_BLOCK)),
-            PAIR, "__lap_block", [F.col("lap_number").asc_nulls_last()],
-            {"__run_start": "start_position", "__run_end": "end_position"}, materialize=True,
-        ).select(*PAIR, "lap_number", "__run_start", "__run_end")
-        metrics = join_null_safe(metrics, running, [*PAIR, "lap_number"], "left")
-    else:
-        # One window per (session, driver) over its lap rows (a driver's laps
-        # in a session are bounded by the race distance).
-        order = Window.partitionBy(*PAIR).orderBy(
-            F.col("lap_number").asc_nulls_last(), F.col("date_start").asc_nulls_last()
-        ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        metrics = metrics.withColumn("__run_start", F.max("start_position").over(order)).withColumn(
-            "__run_end", F.max("end_position").over(order)
-        )
+    # Start/end positions depend on (session, driver, lap_number) only: the
+    # running MAX is computed on one row per lap number, per block of
+    # LAP_BLOCK laps plus a prefix over the blocks, and joined back.
+    lap_numbers = laps.select(*PAIR, "lap_number").distinct().join(ends, [*PAIR, "lap_number"], "left")
+    running = blocked_running_max(
+        lap_numbers.withColumn("__lap_block", F.floor(F.col("lap_number") / LAP_BLOCK)),
+        PAIR, "__lap_block", [F.col("lap_number").asc_nulls_last()],
+        {"__run_start": "start_position", "__run_end": "end_position"},
+    ).select(*PAIR, "lap_number", "__run_start", "__run_end")
+    metrics = join_null_safe(metrics, running, [*PAIR, "lap_number"], "left")
 
     def filled(col: str, running: str) -> F.Column:
         return F.when(F.col("lap_number") == 1, F.col("first_position")).otherwise(

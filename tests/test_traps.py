@@ -179,14 +179,51 @@ def test_every_model_is_one_lazy_plan(spark):
     assert dt.timezone.utc
 
 
-def test_skew_safe_variants_are_exact(spark):
+def test_block_results_equal_plain_windows(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
     from raceline.sources.fixtures import raw_tables
 
     raw = raw_tables(spark, "/root/testdata/sf0.001")
-    for fn in (marts.final_historical_analysis, it.int_lap_position):
-        plain, blocked = fn(raw), fn(raw, skew_safe=True)
-        assert plain.count() == blocked.count()
-        assert plain.exceptAll(blocked).count() == 0
+    ranked = it.int_lap_position(raw)
+    for diff, rank in (("start_time_diff", "start_position_rank"), ("end_time_diff", "end_position_rank")):
+        order = Window.partitionBy("session_key", "driver_number", "lap_number").orderBy(diff, "position", "date", "date_start")
+        assert ranked.withColumn("plain", F.row_number().over(order)).where(F.col("plain") != F.col(rank)).count() == 0
+
+
+def test_lap_without_number_keeps_its_gaps(spark):
+    laps = [
+        dict(session_key=1, driver_number=1, lap_number=n, date_start=ts(f"2024-01-01 0{h}:00:00"), lap_duration=3000.0)
+        for n, h in ((1, 1), (None, 2))
+    ]
+    gaps = [dict(session_key=1, driver_number=1, date=ts("2024-01-01 02:10:00"), gap_to_leader="5.5", interval="1.25")]
+    rows = {r["lap_number"]: r for r in marts.final_historical_analysis(raw_of(spark, laps=laps, intervals=gaps)).collect()}
+    assert rows[None]["max_gap_to_leader"] == "5.5" and rows[1]["max_gap_to_leader"] is None
+
+
+def test_weather_of_a_stint_equals_all_samples(spark):
+    """Whole blocks of every level plus the ends: the same mean as one by one."""
+    import datetime as dt_
+
+    start = dt_.datetime(2024, 1, 1, 0, 0, 30)
+    samples = [(1, start + dt_.timedelta(seconds=37 * i), float(i % 91)) for i in range(20_000)]
+    spans = [(1, start + dt_.timedelta(seconds=a), start + dt_.timedelta(seconds=b)) for a, b in ((0, 0), (5, 30), (100, 5_000), (3, 700_000), (-50, 10), (90_000, 80_000))]
+    from pyspark.sql import functions as F
+
+    from raceline.functions.columns import exact_sum
+    from raceline.operators.interval_join import range_aggregate
+
+    points = spark.createDataFrame(samples, "k int, date timestamp, v double")
+    ranges = spark.createDataFrame(spans, "k int, lo timestamp, hi timestamp")
+    got = range_aggregate(ranges, points, ["k"], "date", "lo", "hi", 60, {"s": (exact_sum("v"), F.sum), "n": (F.count("v"), F.sum), "m": (F.max("v"), F.max)})
+    rows = {(r["lo"], r["hi"]): r for r in got.collect()}
+    assert len(rows) == len(spans)
+    for _, lo, hi in spans:
+        inside = [v for _, d, v in samples if lo <= d <= hi]
+        r = rows[lo, hi]
+        assert (r["n"] or 0) == len(inside) and r["m"] == (max(inside) if inside else None)
+        assert float(r["s"] or 0) == sum(inside)
 
 
 def test_models_as_named_views_and_tables(spark, tmp_path):
