@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from raceline.functions.columns import nan_to_null
+from raceline.sources.landing import FIELDS
 
 
 def conform_fill(df: DataFrame, schema: StructType) -> DataFrame:
@@ -33,20 +34,17 @@ def conform_keep(df: DataFrame, schema: StructType, key: str) -> DataFrame:
 
 def conform_require(df: DataFrame, schema: StructType, required: Sequence[str], payload_keys: Sequence[str]) -> DataFrame:
     """Conform like ``conform_fill``, then drop every payload (rows sharing
-    ``payload_keys``) in which a required column carries no value at all.
+    ``payload_keys``) that lacks a required column.
 
-    With a fixed read schema an absent field reads as NULL, so "the payload
-    lacks the column" is tested as "the column is NULL in every row of the
-    payload". This is a grouped aggregate (partial on the map side), not a
-    collect of the payload.
-    """
+    A column is there if an object of the payload has the field, whatever its
+    value; ``_fields`` (from the landing reader) says so. Rows that were not
+    read from JSON text have the columns of their DataFrame. The test is a
+    grouped aggregate (partial on the map side), not a collect of the payload."""
     conformed = conform_fill(df, schema)
-    if not required:
-        return conformed
-    present = conformed.groupBy(*payload_keys).agg(
-        *[F.max(F.col(c).isNotNull().cast("int")).alias(f"__has_{c}") for c in required]
-    )
-    complete = present.filter(F.expr(" AND ".join(f"__has_{c} = 1" for c in required))).select(*payload_keys)
+    if FIELDS not in df.columns:
+        return conformed if set(required) <= set(df.columns) else conformed.where(F.lit(False))
+    present = df.groupBy(*payload_keys).agg(*[F.max(F.array_contains(FIELDS, c)).alias(f"__has_{c}") for c in required])
+    complete = present.where(F.expr(" AND ".join(f"`__has_{c}`" for c in required))).select(*payload_keys)
     return conformed.join(complete, [conformed[k].eqNullSafe(complete[k]) for k in payload_keys], "left_semi")
 
 

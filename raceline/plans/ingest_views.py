@@ -67,33 +67,76 @@ class Setting:
         return self.ledger(done)
 
 
-def _landed_json(s: Setting, rows: DataFrame) -> str:
+#: Landed lines that can't be read: a truncated object, and a text where a number belongs.
+UNREADABLE = ('{"session_key": 1, "driver_number": 1, "da', '{"session_key": "x", "driver_number": 1}')
+
+
+def _objects(rows: DataFrame, lacks: tuple[str, F.Column] | None = None) -> F.Column:
+    """Rows as JSON objects, nulls written out; ``lacks``: a field, and the
+    rows whose objects don't have it."""
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+    def text(columns: list[str]) -> F.Column:
+        return F.to_json(F.struct(*columns), options)
+
+    if lacks is None:
+        return text(rows.columns)
+    field, where = lacks
+    return F.when(F.coalesce(where, F.lit(False)), text([c for c in rows.columns if c != field])).otherwise(text(rows.columns))
+
+
+def _land(s: Setting, payloads: DataFrame, table: str) -> DataFrame:
+    """Payload texts written to the landing, one a line, and read back."""
     path = _scratch(s.spark, "landing")
-    landing.write_landing(rows, path)
-    return path
+    payloads.write.text(path)
+    return landing.read_landing(s.spark, path, schemas.RAW[table])
+
+
+def _extra(s: Setting, *texts: str) -> DataFrame:
+    return s.spark.range(1).select(F.explode(F.array(*map(F.lit, texts))).alias("value"))
+
+
+def pit_landing(s: Setting) -> DataFrame:
+    """Pit payloads as arrays (one per session and car; single objects for
+    every third car), plus empty arrays, one ``{"detail": ...}`` envelope per
+    session the endpoint has no data for, an empty object and two lines that
+    can't be read."""
+    rows = s.landing("pit")
+    objects = rows.select(*ledger.PAIR, _objects(rows).alias("o"))
+    single = F.coalesce(F.col("driver_number") % 3 == 0, F.lit(False))
+    arrays = objects.where(~single).groupBy(*ledger.PAIR).agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ", "), F.lit("]")).alias("value"))
+    envelopes = s.sessions.filter(~F.col("session_type").isin(*sel.RACE_TYPES)).select(
+        F.to_json(F.struct(F.concat(F.lit("No results found for session "), F.col("session_key").cast("string")).alias("detail"))).alias("value")
+    )
+    payloads = arrays.select("value").unionByName(objects.where(single).select(F.col("o").alias("value"))).unionByName(envelopes)
+    return _land(s, payloads.unionByName(_extra(s, "[]", " [ ] ", "{}", *UNREADABLE)), "pit")
 
 
 def read_landing_view(s: Setting) -> DataFrame:
-    path = _landed_json(s, s.landing("pit"))
-    return landing.read_landing(s.spark, path, schemas.RAW["pit"]).select(*schemas.columns("pit"))
+    """The landed pit rows, and a row of nulls for each envelope, empty
+    object and unreadable line, which the reader keeps and marks."""
+    rows = pit_landing(s)
+    return rows.select(*schemas.columns("pit"), landing.DETAIL, F.col(landing.CORRUPT).isNotNull().alias("unreadable"))
 
 
 def drop_error_envelopes_view(s: Setting) -> DataFrame:
-    """Pit payloads plus one ``{"detail": ...}`` envelope per session the
-    pit endpoint has no data for (sessions that are not Race/Qualifying)."""
-    envelopes = (
-        s.sessions.filter(~F.col("session_type").isin(*sel.RACE_TYPES))
-        .select(F.concat(F.lit("No results found for session "), F.col("session_key").cast("string")).alias("detail"))
-    )
-    rows = s.landing("pit").unionByName(envelopes, allowMissingColumns=True)
-    path = _landed_json(s, rows)
-    return landing.drop_error_envelopes(landing.read_landing(s.spark, path, schemas.RAW["pit"]))
+    return landing.drop_error_envelopes(pit_landing(s)).drop(landing.FIELDS)
+
+
+#: Payloads of these cars lack a column in the registered landings.
+LACKS_FLAG, LACKS_Z = 5, 6
 
 
 def conform_require_view(s: Setting) -> DataFrame:
-    return conform.conform_require(
-        s.landing("race_control"), schemas.RAW["race_control"], schemas.columns("race_control"), ledger.PAIR
-    )
+    rows = s.landing("race_control")
+    lines = rows.select(_objects(rows, ("flag", F.col("driver_number") % LACKS_FLAG == 0)).alias("value"))
+    return conform.conform_require(_land(s, lines, "race_control"), schemas.RAW["race_control"], schemas.columns("race_control"), ledger.PAIR)
+
+
+def location_landing(s: Setting) -> DataFrame:
+    rows = s.landing("location")
+    lines = rows.select(_objects(rows, ("z", F.col("driver_number") % LACKS_Z == 0)).alias("value"))
+    return _land(s, lines.unionByName(_extra(s, *UNREADABLE)), "location")
 
 
 def hour_chunks_view(s: Setting) -> DataFrame:
@@ -120,7 +163,7 @@ def append_table_view(s: Setting) -> DataFrame:
 
 
 def load_metrics_view(s: Setting) -> DataFrame:
-    return loaders.location_metrics(s.landing("location"), s.location_ledger(), s.sessions, s.raw["drivers"])
+    return loaders.location_metrics(location_landing(s), s.location_ledger(), s.sessions, s.raw["drivers"])
 
 
 def parse_iso_ts_view(s: Setting) -> DataFrame:
@@ -171,10 +214,10 @@ VIEWS = {
     "load_car_data": lambda s: loaders.load_car_data(s.landing("car_data"), s.car_ledger(), s.sessions, s.raw["drivers"]),
     "load_intervals": lambda s: loaders.load_intervals(s.landing("intervals"), s.target("intervals"), s.sessions),
     "load_location": lambda s: loaders.load_location(
-        s.landing("location"), s.target("location"), s.sessions, s.raw["drivers"]
+        location_landing(s), s.target("location"), s.sessions, s.raw["drivers"]
     ),
     "load_location_resume": lambda s: loaders.load_location_resume(
-        s.landing("location"), s.location_ledger(LEDGER_CUTOFF), s.sessions, s.raw["drivers"], s.loaded_sessions()
+        location_landing(s), s.location_ledger(LEDGER_CUTOFF), s.sessions, s.raw["drivers"], s.loaded_sessions()
     ),
     "load_meetings": lambda s: loaders.load_meetings(
         s.landing("meetings"),

@@ -14,10 +14,12 @@ with the appended table as target yields no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from raceline import schemas
 from raceline.session import checkpoint_dir
@@ -39,7 +41,7 @@ from raceline.operators.sessions import (
     session_limit,
     skip_sessions,
 )
-from raceline.sources.landing import DETAIL, drop_error_envelopes, stringify
+from raceline.sources.landing import CORRUPT, DETAIL, FIELDS, drop_error_envelopes, rejected, stringify
 from raceline.sources.ledger import PAIR, append_ledger, ledger_skip, read_ledger
 
 # The dedup keys of the loaders (first row kept).
@@ -216,22 +218,23 @@ def _close_pairs(
     rows_of,
     partition_by: Sequence[str],
 ) -> int:
-    """Append the rows of the candidate pairs, then ledger them.
-
-    Pairs that already have rows in the table (a run that died after the
-    data commit and before the ledger append) are not loaded again; they
-    only go to the ledger, so a rerun never duplicates rows. The table is
-    read only for the candidate sessions (partition pruning when the table
-    is partitioned by session_key)."""
+    """Append the rows of the candidate pairs, publish them, then ledger the
+    pairs.
+
+    Pairs that have published rows (a run that died between publishing and
+    the ledger) are not loaded again; they only go to the ledger. Rows of a
+    run that died earlier are not published, so its pairs are loaded anew and
+    no row comes twice or is lost. The table is read only for the candidate
+    sessions (it is partitioned by session_key)."""
     candidates = candidates.checkpoint(eager=True)
-    existing = incremental.read_table(spark, table_path, schemas.RAW[table])
+    existing = incremental.read_published(spark, table_path, schemas.RAW[table])
     present = (
         existing.join(candidates.select("session_key").distinct(), "session_key", "left_semi")
         .select(*PAIR)
         .distinct()
     )
     open_pairs = anti_by_pair(candidates, present).checkpoint(eager=True)
-    append_table(rows_of(open_pairs), table_path, partition_by=partition_by)
+    incremental.publish_load(rows_of(open_pairs), table_path, uuid.uuid4().hex, partition_by)
     append_ledger(candidates, ledger_path)
     return open_pairs.count()
 
@@ -244,7 +247,7 @@ def run_car_data_backfill(
     table_path: str,
     ledger_path: str,
     types: Sequence[str] = ("Race", "Qualifying"),
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] = ("session_key",),
 ) -> int:
     """Resumable telemetry backfill: append the rows of all open pairs, then
     append those pairs to the ledger. The ledger is written only after the
@@ -269,7 +272,7 @@ def run_location_backfill(
     table_path: str,
     ledger_path: str,
     deny: Iterable[int] | DataFrame = (),
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] = ("session_key",),
 ) -> int:
     """Resumable location load: rows of every open pair are appended, then
     the pairs go to the ledger, including pairs whose payload was empty or
@@ -284,66 +287,78 @@ def run_location_backfill(
     return _close_pairs(spark, candidates, table_path, ledger_path, "location", rows_of, partition_by)
 
 
-def run_load(new_rows: DataFrame, table_path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append a loader result to its table. For the large per-session tables
-    (car_data, location, position, intervals) ``partition_by=("session_key",)``
-    lets per-session reads prune to their own files."""
+#: The tables with many rows per session are stored by session.
+PARTITIONED = {"car_data", "location", "position", "intervals"}
+
+
+def run_load(
+    new_rows: DataFrame, table_path: str, partition_by: Sequence[str] | None = None, landing: DataFrame | None = None, reject_path: str | None = None
+) -> None:
+    """Append a loader result to its table, by default by session_key if the
+    path names one of the large per-session tables. With ``landing`` and
+    ``reject_path`` the landed objects that could not be read are stored
+    there as text."""
+    if partition_by is None:
+        partition_by = ("session_key",) if table_path.rstrip("/").rsplit("/", 1)[-1] in PARTITIONED else ()
     append_table(new_rows, table_path, partition_by=partition_by)
+    if landing is not None and reject_path:
+        rejected(landing).write.mode("append").text(reject_path)
 
 
 def location_metrics(landing: DataFrame, ledger: DataFrame, sessions: DataFrame, drivers: DataFrame, deny=()) -> DataFrame:
     """Counts of the resumable location load in one pass over the landing:
-    landed rows, rows skipped (pair done, not requested, or payload missing
-    a required column), duplicate rows, rows to insert, and the (session,
-    car) pairs attempted and skipped as already in the ledger. (A failed
-    write fails the whole job, so there is no per-pair failure count.)
-
-    Every landed row is flagged (open pair, complete payload) by joins with
-    per-pair tables and grouped once by (kept, dedup key); the group sizes
-    and the pair lists are stacked as tagged rows and reduced by one
-    aggregate, so the landing is read once."""
-    rows = _clean(landing)
+    landed rows, rows that could not be read, rows skipped (pair done, not
+    requested, or payload without a required column), duplicate rows, rows to
+    insert, and the (session, car) pairs attempted and skipped as already in
+    the ledger.
+
+    The landed rows are grouped by pair and dedup key with the fields that
+    they have, then by pair, then counted; the pair lists are stacked as
+    tagged rows under the same last aggregate."""
     roster = session_driver_roster(skip_sessions(sessions_by_type(sessions, check_key=False), deny), drivers)
     open_pairs = ledger_skip(roster, ledger)
     ledgered = roster.join(ledger.select(*PAIR).distinct(), [roster[k].eqNullSafe(ledger[k]) for k in PAIR], "left_semi")
-    flagged = rows.join(open_pairs.withColumn("__open", F.lit(True)), PAIR, "left")
+    failed = F.col(CORRUPT).isNotNull() if CORRUPT in landing.columns else F.lit(False)
+    usable = ~failed & (F.col(DETAIL).isNull() if DETAIL in landing.columns else F.lit(True))
     required = schemas.columns("location")
-    complete = (
-        flagged.filter(F.col("__open"))
-        .groupBy(*PAIR)
-        .agg(*[F.max(F.col(c).isNotNull().cast("int")).alias(f"__has_{c}") for c in required])
-        .filter(F.expr(" AND ".join(f"__has_{c} = 1" for c in required)))
-        .select(*PAIR, F.lit(True).alias("__complete"))
-    )
-    kept = F.coalesce(F.col("__open") & F.col("__complete"), F.lit(False))
-    groups = (
-        flagged.join(complete, PAIR, "left")
-        .groupBy(kept.alias("__kept"), *DEDUP_KEYS["location"])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(F.lit("rows").alias("__kind"), "__kept", "__n")
+
+    def has(c: str) -> F.Column:
+        return F.array_contains(FIELDS, c) if FIELDS in landing.columns else F.lit(c in landing.columns)
+
+    rows = conform_fill(landing.withColumns({"__failed": failed, "__usable": usable} | {f"__has_{c}": has(c) for c in required}), StructType([
+        *schemas.RAW["location"].fields, *[StructField(c, BooleanType()) for c in ("__failed", "__usable", *[f"__has_{c}" for c in required])]
+    ]))
+    flags = [F.max(f"__has_{c}").alias(f"__has_{c}") for c in required]
+    by_key = rows.groupBy("__failed", "__usable", *DEDUP_KEYS["location"]).agg(F.count(F.lit(1)).alias("__n"), *flags)
+    by_pair = by_key.groupBy("__failed", "__usable", *PAIR).agg(
+        F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__groups"), *flags
     )
-    stacked = groups.unionByName(
-        open_pairs.select(F.lit("open").alias("__kind"), F.lit(True).alias("__kept"), F.lit(1).cast("long").alias("__n"))
-    ).unionByName(
-        ledgered.select(F.lit("ledgered").alias("__kind"), F.lit(True).alias("__kept"), F.lit(1).cast("long").alias("__n"))
+    known = open_pairs.withColumn("__open", F.lit(True))
+    complete = F.expr(" AND ".join(f"`__has_{c}`" for c in required))
+    kept = F.coalesce(F.col("__usable") & F.col("__open") & complete, F.lit(False))
+    counted = by_pair.join(known, PAIR, "left").select(
+        F.when(F.col("__failed"), "failed").when(F.col("__usable"), "rows").otherwise("none").alias("__kind"), kept.alias("__kept"), "__n", "__groups"
     )
 
-    def total(kind: str, only_kept: bool = False, groups_only: bool = False) -> F.Column:
+    def tagged(pairs: DataFrame, kind: str) -> DataFrame:
+        one = F.lit(1).cast("long")
+        return pairs.select(F.lit(kind).alias("__kind"), F.lit(True).alias("__kept"), one.alias("__n"), one.alias("__groups"))
+
+    def total(kind: str, value: str = "__n", only_kept: bool = False) -> F.Column:
         cond = F.col("__kind") == kind
-        if only_kept:
-            cond = cond & F.col("__kept")
-        value = F.lit(1) if groups_only else F.col("__n")
-        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+        return F.coalesce(F.sum(F.when(cond & F.col("__kept") if only_kept else cond, F.col(value))), F.lit(0)).cast("long")
 
-    counts = stacked.agg(
+    counts = counted.unionByName(tagged(open_pairs, "open")).unionByName(tagged(ledgered, "ledgered")).agg(
         total("rows").alias("landed_rows"),
+        total("failed").alias("failed_rows"),
         total("rows", only_kept=True).alias("__after_skip"),
-        total("rows", only_kept=True, groups_only=True).alias("inserted_rows"),
+        total("rows", "__groups", only_kept=True).alias("inserted_rows"),
         total("open").alias("pairs_attempted"),
         total("ledgered").alias("pairs_skipped"),
     )
     return counts.select(
         "landed_rows",
+        "failed_rows",
         (F.col("landed_rows") - F.col("__after_skip")).alias("skipped_rows"),
         (F.col("__after_skip") - F.col("inserted_rows")).alias("duplicate_rows"),
         "inserted_rows", "pairs_attempted", "pairs_skipped",

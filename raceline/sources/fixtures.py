@@ -132,7 +132,8 @@ SELECT {_EVENT_SESSION} AS session_key, {_EVENT_DATE} AS date, value / 5 AS air_
 FROM {_EVENT_KEY} WHERE event_type = 'signup'""",
     "location": f"""
 SELECT {_EVENT_DRIVER} AS driver_number, {_EVENT_SESSION} AS session_key, {_EVENT_DATE} AS date,
-  floor(value / 50) * 1.0E0 AS x, CAST(event_id % 4 AS DOUBLE) AS y, CAST(0 AS DOUBLE) AS z
+  floor(value / 50) * 1.0E0 AS x, CAST(event_id % 4 AS DOUBLE) AS y,
+  CASE WHEN user_id % 7 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS z
 FROM {_EVENT_KEY}""",
     "race_control": f"""
 SELECT CASE WHEN event_id % 3 = 0 THEN NULL ELSE {_EVENT_DRIVER} END AS driver_number,

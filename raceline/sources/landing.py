@@ -2,8 +2,10 @@
 
 A payload is a JSON array of flat objects, a single object, or an error
 envelope ``{"detail": "..."}``. Landing files are read with an explicit
-schema (never inferred); ``detail`` is added to the read schema so envelopes
-can be recognised and dropped with a filter.
+schema (never inferred). Every row carries the field names that its object
+has (``_fields``), so a field that is absent and one that is null can be told
+apart, and every object that can't be read as the schema says becomes a row
+with its text in ``_corrupt_record``: nothing that was landed vanishes.
 """
 
 from __future__ import annotations
@@ -12,36 +14,55 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-DETAIL = "detail"
+DETAIL, FIELDS, CORRUPT = "detail", "_fields", "_corrupt_record"
 
 
 def landing_schema(schema: StructType) -> StructType:
-    """The table schema plus the error-envelope field."""
-    if DETAIL in schema.fieldNames():
-        return schema
-    return StructType([*schema.fields, StructField(DETAIL, StringType(), True)])
+    """The table schema plus the error-envelope and reject fields."""
+    added = [StructField(c, StringType(), True) for c in (DETAIL, CORRUPT) if c not in schema.fieldNames()]
+    return StructType([*schema.fields, *added])
 
 
 def read_landing(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
-    """Scan landed payloads. ``multi_line=True`` for files holding one JSON
-    array (or one object) each, as the REST API delivers them; the default
-    reads JSON Lines, one object per line (splittable, so large landings
-    are read in parallel). Timestamps in ISO-8601 (``...Z``) parse on read."""
-    reader = spark.read.schema(landing_schema(schema)).option("mode", "PERMISSIVE")
-    if multi_line:
-        reader = reader.option("multiLine", True)
-    return reader.json(path)
+    """Scan landed payloads: one per line (splittable, so large landings are
+    read in parallel), or with ``multi_line=True`` one per file. Arrays give a
+    row per object, empty arrays none. Timestamps in ISO-8601 parse on read.
+    Columns: the schema's, ``detail``, ``_corrupt_record`` and ``_fields``."""
+    payloads = spark.read.text(path, wholetext=multi_line).select(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("payload"))
+    as_array = F.when(F.col("payload").startswith("["), F.col("payload")).otherwise(F.concat(F.lit("["), F.col("payload"), F.lit("]")))
+    objects = F.from_json(as_array, "array<string>")
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("object"), F.col("payload").alias("reject")))
+    each = F.transform(objects, lambda o: F.struct(o.alias("object"), F.when(o.isNull(), F.lit("null")).alias("reject")))
+    found = payloads.where("payload <> ''").select(F.explode(F.when(objects.isNull(), whole).otherwise(each)).alias("x")).select("x.*")
+    fields = landing_schema(schema)
+    row = F.from_json("object", fields, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+    rows = found.select("reject", F.json_object_keys("object").alias(FIELDS), row.alias("r"))
+    columns = [F.col(f"r.`{c}`").alias(c) for c in fields.fieldNames() if c != CORRUPT]
+    return rows.select(*columns, F.coalesce("reject", f"r.{CORRUPT}").alias(CORRUPT), FIELDS)
+
+
+def rejected(df: DataFrame) -> DataFrame:
+    """Texts of the landed objects that can't be read (cut off, or with a
+    value of another type): to be stored and counted."""
+    return df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def drop_error_envelopes(df: DataFrame) -> DataFrame:
-    """Remove ``{"detail": ...}`` payload rows and rows of empty objects, and
-    the ``detail`` column itself."""
-    data_cols = [c for c in df.columns if c != DETAIL]
-    any_value = F.lit(False)
-    for c in data_cols:
-        any_value = any_value | F.col(f"`{c}`").isNotNull()
-    kept = df.filter(F.col(DETAIL).isNull()) if DETAIL in df.columns else df
-    return kept.filter(any_value).select(*[F.col(f"`{c}`") for c in data_cols])
+    """The data rows: without ``{"detail": ...}`` envelopes, empty objects and
+    what ``rejected`` returns. ``_fields`` stays, ``detail`` goes."""
+    data_cols = [c for c in df.columns if c not in (DETAIL, CORRUPT, FIELDS)]
+    kept = df
+    for mark in (CORRUPT, DETAIL):
+        if mark in df.columns:
+            kept = kept.where(F.col(mark).isNull())
+    if FIELDS in df.columns:
+        kept = kept.where(F.size(FIELDS) > 0)
+    else:  # rows that were not read from JSON text
+        any_value = F.lit(False)
+        for c in data_cols:
+            any_value = any_value | F.col(f"`{c}`").isNotNull()
+        kept = kept.where(any_value)
+    return kept.select(*[F.col(f"`{c}`") for c in data_cols], *([FIELDS] if FIELDS in df.columns else []))
 
 
 def write_landing(df: DataFrame, path: str) -> None:

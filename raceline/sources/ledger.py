@@ -18,7 +18,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(LEDGER).option("header", False).csv(path)
     except Exception as exc:  # an absent ledger means nothing is done yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        if getattr(exc, "getCondition", lambda: None)() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], LEDGER)
         raise
 

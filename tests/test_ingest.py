@@ -115,7 +115,7 @@ def test_t19_t20_ledger_and_backfill(spark, tmp_path):
     table = str(tmp_path / "car_data")
     closed = loaders.run_car_data_backfill(spark, car, sessions, drivers, table, path)
     assert closed == 1
-    assert [r.speed for r in spark.read.parquet(table).collect()] == [250]
+    assert [r.speed for r in incremental.read_published(spark, table, schemas.RAW["car_data"]).collect()] == [250]
     assert loaders.run_car_data_backfill(spark, car, sessions, drivers, table, path) == 0
 
 
@@ -139,13 +139,33 @@ def test_loaders_are_idempotent(spark, name):
     assert again.count() == 0
 
 
-def test_conform_require_drops_payload_without_column(spark):
-    rc = frame(spark, "race_control", [
-        {"session_key": 1, "driver_number": 1, "date": ts("2024-03-01 10:00:00"), "category": "Flag"},
-        {"session_key": 1, "driver_number": 2, "date": ts("2024-03-01 10:00:00"), "category": None},
-    ])
-    kept = conform.conform_require(rc, schemas.RAW["race_control"], ["category"], ["session_key", "driver_number"])
-    assert [r.driver_number for r in kept.collect()] == [1]
+def test_conform_require_drops_payload_without_column(spark, tmp_path):
+    base = {"session_key": 1, "date": "2024-03-01T10:00:00Z", "x": 1.0, "y": 2.0}
+    path = _write(tmp_path, "loc.json", [{**base, "driver_number": 1, "z": None}, {**base, "driver_number": 1, "z": None},
+                                         {**base, "driver_number": 2}])
+    rows = landing.drop_error_envelopes(landing.read_landing(spark, path, schemas.RAW["location"], multi_line=True))
+    kept = conform.conform_require(rows, schemas.RAW["location"], ["z"], ["session_key", "driver_number"])
+    assert [r.driver_number for r in kept.collect()] == [1, 1]
+
+
+def test_nothing_landed_vanishes(spark, tmp_path):
+    lines = ['{"session_key": 1, "lap_number": 3}', '{"session_key": 1, "lap_nu', '{"session_key": 2, "lap_number": "x"}', "[]", "{}",
+             '[{"session_key": 3}, {"detail": "no"}, null]', "", "not json", '{"detail": "No results"}']
+    (tmp_path / "pit.json").write_text("\n".join(lines))
+    landed = landing.read_landing(spark, str(tmp_path / "pit.json"), schemas.RAW["pit"])
+    assert sorted(r.session_key for r in landing.drop_error_envelopes(landed).collect()) == [1, 3]
+    assert sorted(r[0] for r in landing.rejected(landed).collect()) == sorted([lines[1], lines[2].replace(" ", ""), "null", "not json"])
+    loaders.run_load(loaders.load_pit(landed), str(tmp_path / "t"), landing=landed, reject_path=str(tmp_path / "rejects"))
+    assert spark.read.text(str(tmp_path / "rejects")).count() == 4
+
+
+def test_car_known_from_another_session_is_loaded(spark):
+    sessions = frame(spark, "sessions", [{"session_key": k, "session_type": "Race", "date_start": ts("2024-03-01 10:00:00"),
+                                          "date_end": ts("2024-03-01 12:00:00")} for k in (1, 2)])
+    drivers = frame(spark, "drivers", [{"session_key": 1, "driver_number": 1}, {"session_key": 2, "driver_number": 9}])
+    car = frame(spark, "car_data", [{"session_key": 1, "driver_number": n, "date": ts("2024-03-01 10:30:00"), "speed": n} for n in (1, 9, 5)])
+    none = spark.createDataFrame([], schemas.LEDGER)
+    assert sorted(r.speed for r in loaders.load_car_data(car, none, sessions, drivers).collect()) == [1, 9]
 
 
 def _naive_pairs(points, ranges, hi_inclusive=True):
@@ -261,8 +281,9 @@ def test_location_backfill_resumes(spark, tmp_path):
     table, led = str(tmp_path / "location"), str(tmp_path / "ledger")
     closed = loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3])
     assert closed == 4  # sessions 1 and 2, two cars each; empty and incomplete payloads count as done
-    rows = spark.read.parquet(table).collect()
-    assert [(r.session_key, r.date) for r in rows] == [(1, ts("2024-03-01 10:00:00"))]  # dedup ignores date
+    rows = incremental.read_published(spark, table, schemas.RAW["location"]).collect()
+    # dedup ignores date; a null value is not a missing column
+    assert sorted((r.session_key, r.date) for r in rows) == [(1, ts("2024-03-01 10:00:00")), (2, ts("2024-03-01 10:00:00"))]
     assert loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3]) == 0
 
 
@@ -275,10 +296,13 @@ def test_backfill_rerun_after_crash_does_not_duplicate(spark, tmp_path):
     car = frame(spark, "car_data", [
         {"session_key": 1, "driver_number": n, "date": ts("2024-03-01 10:30:00"), "speed": 200 + n} for n in (1, 2)])
     table, led = str(tmp_path / "car"), str(tmp_path / "ledger")
-    # the crashed run: rows of car 1 were appended, the ledger append never happened
-    incremental.append_table(car.filter("driver_number = 1"), table)
+    # a run that died while its files became visible: part of its rows, not published
+    car.filter("driver_number = 1").withColumn("load_id", F.lit("cut-off")).write.partitionBy("load_id", "session_key").parquet(table)
+    # a run that died before the ledger: car 2 is there as a whole
+    incremental.publish_load(car.filter("driver_number = 2"), table, "done", ["session_key"])
     assert loaders.run_car_data_backfill(spark, car, sessions, drivers, table, led) == 1
-    assert sorted(r.driver_number for r in spark.read.parquet(table).collect()) == [1, 2]
+    rows = incremental.read_published(spark, table, schemas.RAW["car_data"]).collect()
+    assert sorted(r.driver_number for r in rows) == [1, 2]
     assert ledger.read_ledger(spark, led).count() == 2
     assert loaders.run_car_data_backfill(spark, car, sessions, drivers, table, led) == 0
 
