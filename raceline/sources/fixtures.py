@@ -5,7 +5,7 @@ deterministic projection of whole driver tables (position, intervals and
 weather take the event types among them, so together they hold most events),
 and grows with the scale factor; sessions and meetings are 25 and 5 rows:
 
-* sessions   <- nation x region       (one session per nation, one day each)
+* sessions   <- nation x region       (one session per nation, one day each; one of 2.5 hours, one of none)
 * meetings   <- region                (one meeting per region; six columns absent in the landing shape)
 * drivers    <- customer              (customer k drives car k div 25 + 1 in session k mod 25)
 * laps       <- customer x 24 laps    (one-hour laps, some without duration)
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from raceline import schemas
-from raceline.operators.conform import conform_fill
+from raceline.operators.conform import conform_fill, nan_to_null_all
 from raceline.session import prepare
 from raceline.sources.parquet import read_table
 
@@ -58,7 +58,9 @@ SELECT CAST(n_nationkey AS INT) AS session_key, CAST(100 + n_regionkey AS INT) A
   CASE WHEN n_nationkey % 3 = 0 THEN 'Race' WHEN n_nationkey % 3 = 1 THEN 'Qualifying'
        WHEN n_nationkey % 6 = 5 THEN 'Race' ELSE 'Practice' END AS session_type,
   {_DAY0} + n_nationkey * INTERVAL '1' DAY AS date_start,
-  {_DAY0} + (n_nationkey + 1) * INTERVAL '1' DAY AS date_end,
+  CASE n_nationkey WHEN 13 THEN {_DAY0} + 13 * INTERVAL '1' DAY + 150 * INTERVAL '1' MINUTE
+       WHEN 16 THEN {_DAY0} + 16 * INTERVAL '1' DAY
+       ELSE {_DAY0} + (n_nationkey + 1) * INTERVAL '1' DAY END AS date_end,
   n_name AS location, r_name AS country_name, CAST(2024 AS INT) AS year,
   concat('C', CAST(n_nationkey % 8 AS STRING)) AS circuit_short_name
 FROM {{nation}} JOIN {{region}} ON n_regionkey = r_regionkey""",
@@ -97,7 +99,7 @@ SELECT driver_number, session_key, CAST(st AS INT) AS stint_number,
 FROM (SELECT c_custkey, CAST(floor(c_custkey / 25) + 1 AS INT) AS driver_number,
              CAST(c_custkey % 25 AS INT) AS session_key, @GEN(1, 3) AS st FROM {customer}) g""",
     "car_data": f"""
-SELECT CASE WHEN l_linenumber = 7 AND l_returnflag = 'R'
+SELECT CASE WHEN l_linenumber = 3 AND l_returnflag = 'R'
             THEN (SELECT CAST(floor(max(c_custkey) / 25) + 1 AS INT) FROM {{customer}})
             ELSE CAST(floor(k / 25) + 1 AS INT) END AS driver_number, CAST(k % 25 AS INT) AS session_key,
   {_DAY0} + CAST(k % 25 AS INT) * INTERVAL '1' DAY
@@ -126,7 +128,7 @@ SELECT {_EVENT_DRIVER} AS driver_number, {_EVENT_SESSION} AS session_key, {_EVEN
 FROM {_EVENT_KEY} WHERE event_type IN ('error', 'purchase')""",
     "weather": f"""
 SELECT {_EVENT_SESSION} AS session_key, {_EVENT_DATE} AS date, value / 5 AS air_temperature,
-  value / 2 AS track_temperature, CAST(floor(value) AS INT) % 101 AS humidity, value / 100 AS wind_speed,
+  CASE WHEN event_id % 41 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value / 2 END AS track_temperature, CAST(floor(value) AS INT) % 101 AS humidity, value / 100 AS wind_speed,
   CAST(event_id % 360 AS INT) AS wind_direction,
   CASE WHEN event_id % 50 = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS rainfall
 FROM {_EVENT_KEY} WHERE event_type = 'signup'""",
@@ -187,8 +189,8 @@ def landing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The raw warehouse table: landing shape conformed to the fixed DDL."""
-    return conform_fill(landing(spark, sf_dir, name), schemas.RAW[name])
+    """The raw warehouse table: landing shape conformed to the fixed DDL, NaN as NULL."""
+    return nan_to_null_all(conform_fill(landing(spark, sf_dir, name), schemas.RAW[name]))
 
 
 class RawTables(Mapping[str, DataFrame]):
