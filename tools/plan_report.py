@@ -41,7 +41,7 @@ def main() -> None:
         conf.update({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     spark = build_session("local[8]", shuffle_partitions=16, conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as entry
+    from raceline import registry
 
     if shuffle_only:
         print(f"\n## Shuffle-join plans ({os.path.basename(sf_dir)}, broadcast disabled)\n")
@@ -56,7 +56,7 @@ def main() -> None:
               "query has a Python operator, a nested-loop join or a Cartesian product.\n")
     print("| query | " + " | ".join(n for n, _ in NODES) + " |")
     print("| --- | " + " | ".join("---" for _ in NODES) + " |")
-    for name, query in entry.queries().items():
+    for name, query in registry.queries().items():
         df = query(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
