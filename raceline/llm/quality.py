@@ -36,6 +36,9 @@ for _name, _bytes in (
 ):
     _CLASS[list(_bytes)] = _name
 
+#: Words at which the statistics of a text count half.
+RELIABLE_WORDS = 20
+
 FEATURES = (
     "log_words",
     "log_lines",
@@ -118,6 +121,13 @@ def feature_table(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     return table.mapInArrow(run, f"key {kind}, x array<double>").withColumnRenamed("key", key)
 
 
+def standardised(x: np.ndarray, center: np.ndarray, scale: np.ndarray, clip: float) -> np.ndarray:
+    """Statistics in units of their spread. Those of a few words say little:
+    n words count for n / (n + RELIABLE_WORDS) of their distance."""
+    words = np.expm1(x[:, :1])
+    return np.clip((x - center) / scale, -clip, clip) * (words / (words + RELIABLE_WORDS))
+
+
 def _moments(rows: DataFrame, center: np.ndarray | None, scale: np.ndarray | None, clip: float) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
     """Per label: rows, sum and sum of outer products of ``x`` (standardised
     and clipped if a center is given). Each task adds up its rows; the sums
@@ -129,7 +139,7 @@ def _moments(rows: DataFrame, center: np.ndarray | None, scale: np.ndarray | Non
         for b in batches:
             x = np.asarray(b.column(1).flatten()).reshape(-1, d)
             if center is not None:
-                x = np.clip((x - center) / scale, -clip, clip)
+                x = standardised(x, center, scale, clip)
             label = np.asarray(b.column(0))
             for y in (0, 1):
                 own = x[label == y]
@@ -161,7 +171,7 @@ class Discriminant:
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         """Log-density of label 1 minus that of label 0."""
-        z = np.clip((x - self.center) / self.scale, -self.clip, self.clip)
+        z = standardised(x, self.center, self.scale, self.clip)
         log = [o - 0.5 * (((z - m) @ w.T) ** 2).sum(1) for m, w, o in zip(self.means, self.whiten, self.offsets)]
         return log[1] - log[0]
 
@@ -169,7 +179,7 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(self.margin(x) / self.temperature, -700, 700)))
 
 
-def fit(rows: DataFrame, shrinkage: float = 0.03, clip: float = 4.0, temperature: float = float(len(FEATURES))) -> Discriminant | None:
+def fit(rows: DataFrame, shrinkage: float = 0.02, clip: float = 4.0, temperature: float = float(len(FEATURES))) -> Discriminant | None:
     """Fit on all rows of (label 0 or 1, x). None if a class has fewer than
     two rows."""
     d = len(FEATURES)
@@ -197,7 +207,7 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", shrinkage: float = 0.03) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", shrinkage: float = 0.02) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (0 to 1, higher: label 1 likelier)
     and ``predicted`` (1 from a score of 0.5 on) of every document.
 
@@ -230,7 +240,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, text: str, shrinkage: float) ->
     return table, fit(table.where(~held_out()).join(agreed, "doc_id"), shrinkage)
 
 
-def quality_rows(docs: DataFrame, labels: DataFrame, text: str = "text", shrinkage: float = 0.03) -> DataFrame:
+def quality_rows(docs: DataFrame, labels: DataFrame, text: str = "text", shrinkage: float = 0.02) -> DataFrame:
     """The documents themselves with ``score`` and ``predicted`` (input
     columns of these names are replaced), as ``quality_scores`` defines them.
     The rows are scored where they are read, without a shuffle."""
