@@ -4,20 +4,41 @@ checkpoint folder, the word definition."""
 from __future__ import annotations
 
 import math
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import raceline
 from raceline.session import checkpoint_dir
 
 #: A word is a maximal run of anything but ASCII white space (fixed value).
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the Python workers (once per session), unless they
+    find it by PYTHONPATH."""
+    root = Path(raceline.__file__).resolve().parent.parent
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or hasattr(context, "_raceline_shipped"):
+        return
+    archive = f"{tempfile.mkdtemp(prefix='raceline-code-')}/raceline.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted((root / "raceline").rglob("*.py")):
+            out.write(source, source.relative_to(root))
+    context.addPyFile(archive)
+    context._raceline_shipped = archive
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
