@@ -180,7 +180,7 @@ def final_tyre_performance(raw: Raw) -> DataFrame:
     )
 
 
-def final_historical_analysis(raw: Raw) -> DataFrame:
+def final_historical_analysis(raw: Raw, numeric_gaps: bool = False) -> DataFrame:
     """One row per lap: first recorded position, gap range during the lap and
     start/end positions (lap 1 = first recorded position; otherwise the lap's
     own nearest sample, else the running MAX so far, else the first
@@ -191,7 +191,8 @@ def final_historical_analysis(raw: Raw) -> DataFrame:
     start/end samples are picked in one grouped pass; the lap rows are then
     joined once to each per-lap result instead of fanning out the samples.
     The running fill goes by blocks of laps, so no task sorts all laps of a
-    car.
+    car. The leader gaps are texts and compare as texts (warehouse rule);
+    ``numeric_gaps`` compares and returns them as numbers.
     """
     laps = stg.stg_laps(raw).select(
         *PAIR, "lap_number", "date_start", "date_end", "is_pit_out_lap",
@@ -210,7 +211,8 @@ def final_historical_analysis(raw: Raw) -> DataFrame:
     gaps = interval_left_aggregate(
         laps.select(*lap_key),
         stg.stg_intervals(raw).select(
-            *PAIR, F.date_trunc("second", "date").alias("gap_date"), "gap_to_leader", "gap_to_next"
+            *PAIR, F.date_trunc("second", "date").alias("gap_date"),
+            F.col("gap_to_leader").try_cast("double").alias("gap_to_leader") if numeric_gaps else "gap_to_leader", "gap_to_next"
         ),
         PAIR, "gap_date", "date_start", "date_end", it.LAP_BUCKET_SECONDS,
         group_by=lap_key,

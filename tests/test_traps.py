@@ -202,6 +202,14 @@ def test_lap_without_number_keeps_its_gaps(spark):
     assert rows[None]["max_gap_to_leader"] == "5.5" and rows[1]["max_gap_to_leader"] is None
 
 
+def test_gaps_compare_as_text_or_as_numbers(spark):
+    laps = [dict(session_key=1, driver_number=1, lap_number=1, date_start=ts("2024-01-01 01:00:00"), lap_duration=3000.0)]
+    gaps = [dict(session_key=1, driver_number=1, date=ts("2024-01-01 01:10:00"), gap_to_leader=g) for g in ("9.5", "10.25")]
+    raw = raw_of(spark, laps=laps, intervals=gaps)
+    assert marts.final_historical_analysis(raw).first()["max_gap_to_leader"] == "9.5"
+    assert marts.final_historical_analysis(raw, numeric_gaps=True).first()["max_gap_to_leader"] == 10.25
+
+
 def test_weather_of_a_stint_equals_all_samples(spark):
     """Whole blocks of every level plus the ends: the same mean as one by one."""
     import datetime as dt_
