@@ -78,13 +78,16 @@ def _ranks(keys: DataFrame, by: Sequence[str], scratch: Scratch, name: str) -> D
     return numbered.select(*by, (F.col("n") + F.col("shift")).cast("long").alias("rank"))
 
 
-def _later_copies(active: DataFrame, k: int) -> DataFrame:
-    """Runs of t lines, k <= t < 2k, that are not the first of their interval."""
+def _later_copies(active: DataFrame, k: int, scratch: Scratch) -> DataFrame:
+    """Runs of t lines, k <= t < 2k, that are not the first of their interval.
+    (The first ones are written, so that the join with them is one of two
+    plain shuffles, whose large partitions Spark can split.)"""
     runs = active.where((F.col("t") >= k) & (F.col("t") < 2 * k)).withColumn("pos2", F.col("pos") + F.col("t") - k)
     second = active.select("unit", F.col("pos").alias("pos2"), F.col("rank").alias("rank2"))
     runs = runs.join(second, ["unit", "pos2"])
     interval = ["t", "rank", "rank2"]
     first = runs.groupBy(*interval).agg(F.min(F.struct("unit", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = scratch.write(first.drop("n"), f"first{k}")
     later = runs.join(first, interval).where(F.struct("unit", "pos") != F.col("first"))
     return later.select("unit", "pos", "t", "line_no", "end_no")
 
@@ -103,7 +106,7 @@ def repeated_runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORD
 
     k, later = 1, []
     while True:
-        later.append(scratch.write(_later_copies(active, k), f"later{k}"))
+        later.append(scratch.write(_later_copies(active, k, scratch), f"later{k}"))
         if 2 * k > longest:
             break
         second = active.select("unit", (F.col("pos") - k).alias("pos"), F.col("rank").alias("rank2"))

@@ -13,8 +13,9 @@ the same for all documents; the join stays exact.
    prefix only is gone after this shuffle. A shingle whose counter says that
    it may be in very many prefixes is dealt over several tasks.
 3. Nodes gather in blocks by the prefix shingle that most others share, each
-   of a bounded number of shingles. Two blocks meet when they share a prefix
-   shingle; the texts of their nodes travel there, once per pair of blocks.
+   of a bounded number of shingles. A node meets its own block and the nodes
+   of other blocks that hold one of its prefix shingles. Bitmaps of the sets go
+   there first; the text of a node that has a possible partner follows.
 4. Inside a pair of blocks the prefix index, the length, positional and
    suffix filters leave pairs, each verified once by its exact intersection.
    A pair whose nodes are already linked through others needs no look; the
@@ -42,8 +43,9 @@ SIMILAR = (80, 100)
 COUNTERS = 1 << 20
 #: Nodes of a shared prefix shingle that one task looks at, about.
 RUN_NODES = 4_000
-#: Shingles that a block holds, about.
-BLOCK_SHINGLES = 100_000
+#: What a node counts besides its shingles, and the shingles that a block holds, about.
+NODE_SHINGLES = 100
+BLOCK_SHINGLES = 400_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,6 +94,48 @@ def ordered_keys(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.sort((rarity << np.uint64(54)) | (hashes >> np.uint64(10)))
 
 
+def bitmap(hashes: np.ndarray) -> bytes:
+    """One bit per shingle in a map of at least as many bits (a power of two,
+    64 at least). Two maps of one size differ in no more bits than their sets
+    in shingles; a map folds to half its size."""
+    bits = np.zeros(max(64, 1 << max(0, len(hashes) - 1).bit_length()), np.uint8)
+    bits[(hashes & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(n: np.ndarray, maps: list[bytes], side: np.ndarray) -> np.ndarray:
+    """Which sets of a group can be similar to another one (of another side,
+    if there are two): by length and by their bitmaps. Similar sets differ in
+    at most (1 - t) / (1 + t) of their sizes' sum."""
+    order = np.argsort(n, kind="stable")
+    n, side = n[order], side[order]
+    maps = [np.frombuffer(maps[i], np.uint64) for i in order]
+    width = np.array([len(m) for m in maps])
+    both = side.min() != side.max()
+    low, high = SIMILAR
+    found = np.zeros(len(n), bool)
+    for w in np.unique(width):
+        # Sets of this map size, and of twice the size folded, ascending.
+        rows = np.flatnonzero((width == w) | (width == 2 * w))
+        table = np.stack([maps[i] if width[i] == w else maps[i][:w] | maps[i][w:] for i in rows])
+        size, own = n[rows], width[rows] == w
+        for x in range(1, len(rows)):
+            least = -(-low * int(size[x]) // high)
+            first = int(np.searchsorted(size, least))
+            fit = own[first:x].copy()
+            if both:
+                fit &= side[rows[first:x]] != side[rows[x]]
+            y = first + np.flatnonzero(fit)
+            if len(y):
+                apart = np.bitwise_count(table[y] ^ table[x]).sum(1, dtype=np.int64)
+                y = y[apart * (high + low) <= (high - low) * (size[y] + size[x])]
+                if len(y):
+                    found[rows[y]] = found[rows[x]] = True
+    out = np.zeros(len(n), bool)
+    out[order] = found
+    return out
+
+
 def needed(n: int) -> int:
     """Least size of a set that can be similar to one of n."""
     return -(-SIMILAR[0] * n // SIMILAR[1])
@@ -102,8 +146,8 @@ def prefix_length(n: int) -> int:
 
 
 def _first_pass(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame, np.ndarray]:
-    """Sets of all documents: ``doc_id``, ``text_key``, ``n``, ``node``; and
-    the frequency class of each counter."""
+    """Sets of all documents: ``doc_id``, ``text_key``, ``n``, ``node``,
+    ``bits``; and the frequency class of each counter."""
     table = docs.select(
         F.col("doc_id"), text_key(F.col(text)).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
@@ -111,7 +155,7 @@ def _first_pass(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "text_key", "n", "node", "part", "counts"]
+        names = ["doc_id", "text_key", "n", "node", "bits", "part", "counts"]
         kind = None
         for b in batches:
             kind, sizes, nodes, waiting = b.schema.field(0).type, [], [], []
@@ -121,16 +165,18 @@ def _first_pass(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame
                 nodes.append(set_digest(h))
                 waiting.append(h)
             counts += np.bincount((np.concatenate(waiting) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+            bits = pa.array([bitmap(h) for h in waiting], pa.binary())
             none = pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *none], names=names)
+            own = [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), bits]
+            yield pa.RecordBatch.from_arrays([*own, *none], names=names)
         if kind is not None:
             packed = [x.astype("<i8").tobytes() for x in np.split(counts, parts)]
-            gone = [pa.nulls(parts, t) for t in (kind, pa.int64(), pa.int64(), pa.int64())]
+            gone = [pa.nulls(parts, t) for t in (kind, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays([*gone, pa.array(range(parts), pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     both = scratch.write(
-        table.mapInArrow(run, f"doc_id {kind}, text_key bigint, n bigint, node bigint, part int, counts binary"), "sets"
+        table.mapInArrow(run, f"doc_id {kind}, text_key bigint, n bigint, node bigint, bits binary, part int, counts binary"), "sets"
     )
 
     def add(group: pa.Table) -> pa.Table:
@@ -142,7 +188,7 @@ def _first_pass(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame
     for r in summed.collect():  # ``parts`` rows, COUNTERS numbers
         counts.reshape(parts, -1)[r["part"]] = np.frombuffer(r["counts"], "<i8")
     classes = np.minimum(16 * np.log2(counts + 1), 1023).astype(np.uint16)
-    return both.where("part is null").select("doc_id", "text_key", "n", "node"), classes
+    return both.where("part is null").select("doc_id", "text_key", "n", "node", "bits"), classes
 
 
 def text_key(text: Column) -> Column:
@@ -298,27 +344,43 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     # A node's block: the prefix shingle that most others share, in bounded pieces.
     anchors = shared.groupBy("node").agg(F.max(F.struct("run", "token")).alias("anchor"), F.first("n").alias("n"))
     anchors = scratch.write(anchors.select("node", "n", F.col("anchor.token").alias("anchor")), "anchors")
-    weights = anchors.groupBy("anchor").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("long").alias("pieces"))
+    weights = anchors.groupBy("anchor").agg(F.ceil(F.sum(F.col("n") + NODE_SHINGLES) / F.lit(BLOCK_SHINGLES)).cast("long").alias("pieces"))
     block = F.xxhash64("anchor", F.pmod(F.xxhash64("node"), F.col("pieces")))
     blocks = scratch.write(anchors.join(weights, "anchor").select("node", block.alias("block")), "blocks")
 
-    # Pairs of blocks that share a prefix shingle.
-    where = shared.select("node", "token").join(blocks, "node").select("token", "block").distinct()
-    other = where.withColumnRenamed("block", "other")
-    pairs = where.join(other, "token").where("block < other").select("block", "other").distinct()
-    alone = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("block", F.col("block").alias("other"))
-    pairs = scratch.write(pairs.unionAll(alone), "pairs")
+    # A node meets the others of its block, and the nodes of every block that
+    # shares one of its prefix shingles.
+    placed = shared.select("node", "token").join(blocks, "node")
+    there = placed.select("token", F.col("block").alias("other")).distinct()
+    across = placed.join(there, "token").where("block <> other").select("node", "block", "other").distinct()
+    several = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("block")
+    inside = blocks.join(several, "block", "left_semi").select("node", "block", F.col("block").alias("other"))
+    meet = across.unionByName(inside).select(
+        "node", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), (F.col("block") > F.col("other")).cast("int").alias("side")
+    )
 
-    # The text of one document of each node goes to the pairs of its block.
-    one = sets.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
-    wanted = blocks.join(one, "node").select("node", "block", F.col("one.doc_id").alias("id"), "one.text_key")
+    # Maps of the sets meet first; a node without a partner there stays away.
+    one = sets.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ("first", "second")):
+            group = group.combine_chunks()
+            side = np.asarray(group.column("side").combine_chunks())
+            keep = may_link(np.asarray(group.column("n").combine_chunks()), group.column("bits").to_pylist(), side)
+            if keep.any():
+                yield from group.drop_columns(["n", "bits"]).filter(pa.array(keep)).to_batches()
+
+    maps = meet.join(one, "node").select("first", "second", "side", "node", F.col("one.doc_id").alias("id"), F.col("one.text_key").alias("id_key"), "n", "bits")
+    maps = maps.repartition(parts, "first", "second").sortWithinPartitions("first", "second")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    wanted = maps.mapInArrow(sift, f"first bigint, second bigint, side int, node bigint, id {kind}, id_key bigint")
+    wanted = scratch.write(wanted, "wanted")
+
+    # The text of one document of each of these nodes goes there.
     rows = docs.select("doc_id", text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
-    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["text_key"])).select("node", "block", "text")
-    meet = pairs.select(F.col("block").alias("b"), F.lit(0).alias("side"), "block", "other").unionAll(
-        pairs.where("block <> other").select(F.col("other").alias("b"), F.lit(1).alias("side"), "block", "other")
-    )
-    meet = meet.withColumnsRenamed({"block": "first", "other": "second"})
-    there = texts.join(meet, texts["block"] == meet["b"]).select("first", "second", "side", "node", "text")
+    same = rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["id_key"])
+    met = rows.join(wanted, same).select("first", "second", "side", "node", "text")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ("first", "second")):
@@ -330,8 +392,7 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
                 a, b = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = there.repartition(parts, "first", "second").sortWithinPartitions("first", "second")
+    met = met.repartition(parts, "first", "second").sortWithinPartitions("first", "second")
     links = met.mapInArrow(link, "a bigint, b bigint")
     roots = connected_components(links, scratch)
 
