@@ -90,6 +90,21 @@ def test_suffix_bound_is_an_upper_bound():
         assert ngram_join.suffix_bound(x, y) >= len(np.intersect1d(x, y))
 
 
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_bitmaps_keep_every_similar_set(two_sides):
+    for seed in range(4):
+        texts = [t for _, t in near_copies(seed, 90)]
+        found = [ngram_join.shingles(t) for t in texts]
+        side = np.arange(len(texts)) % 2 if two_sides else np.zeros(len(texts), int)
+        kept = ngram_join.may_link(np.array([len(h) for h in found]), [ngram_join.bitmap(h) for h in found], side)
+        assert not kept.all()
+        for a in range(len(texts)):
+            for b in range(a):
+                x, y = sets_of(texts[a]), sets_of(texts[b])
+                if 100 * len(x & y) >= 80 * len(x | y) and (not two_sides or side[a] != side[b]):
+                    assert kept[a] and kept[b]
+
+
 def test_odd_rows(spark, odd, odd_clashing, empty):
     got = ngram_join.similar_documents(odd).drop("text_key").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute([(r["doc_id"], r["text"]) for r in odd.collect()])
