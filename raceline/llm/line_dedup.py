@@ -9,13 +9,17 @@ longest common prefix is at least k lines. A suffix whose next k lines occur
 once is alone in its interval and leaves the later rounds, so these work on
 repeated lines only.
 
-A repeated run counts from ``min_words`` words on. For each suffix the
-shortest such run has a length t in lines that its words alone decide, and
-the interval of t lines (k <= t < 2k) is named by two overlapping ranks by k
-lines. The first member of an interval in document order is kept; from the
-others the t lines are removed. A longer repeated run is the union of such
-shortest runs, so what is removed are the later copies of the maximal repeated
-runs, and doubling can stop at ``min_words`` lines.
+A repeated run counts from ``min_words`` words on. Of these the shortest ones
+that start at a line and the shortest ones that end at a line are looked at:
+their lengths t in lines are decided by their words alone, and the interval of
+t lines (k <= t < 2k) is named by two overlapping ranks by k lines. The first
+member of an interval in document order is kept; from the others the t lines
+are removed. A longer repeated run is the union of such shortest runs: a line
+with fewer than ``min_words`` words from it to the run's end is in the shortest
+run that ends there or, if that begins later, has so many before it that the
+shortest run ending at the line itself is inside. So what is removed are the
+later copies of the maximal repeated runs, and doubling can stop at
+``min_words`` lines.
 """
 
 from __future__ import annotations
@@ -53,16 +57,24 @@ def _units(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _lines(units: DataFrame, min_words: int) -> DataFrame:
-    """A row per line: ``unit``, ``pos``, ``a``, ``b``, and of the shortest
-    run of ``min_words`` words that starts here ``t`` (its lines; 0: the
-    document ends before), ``line_no`` and ``end_no`` (its first and last)."""
-    rows = units.select("unit", F.posexplode("lines").alias("pos", "x")).select("unit", "pos", "x.*")
+    """A row per line: ``unit``, ``pos``, ``a``, ``b``, and the lengths in lines,
+    ``t`` to ``most``, of the runs that start here (0: the document ends before
+    ``min_words`` words). ``t`` is the shortest run of ``min_words`` words; the
+    longer ones are the shortest that end at their last line, which is so as
+    long as the next line's shortest run does not end before."""
+    rows = units.select("unit", F.size("lines").alias("n"), F.posexplode("lines").alias("pos", "x")).select("unit", "n", "pos", "x.*")
     in_order = Window.partitionBy("unit").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum(F.col("words").cast("long")).over(in_order), F.lit(0).cast("long")))
     # Lines that start less than min_words words after this one's start.
-    run = Window.partitionBy("unit").orderBy("before").rangeBetween(0, min_words - 1)
+    by_words = Window.partitionBy("unit").orderBy("before")
+    run = by_words.rangeBetween(0, min_words - 1)
     t = F.when(F.sum("words").over(run) >= min_words, F.count(F.lit(1)).over(run)).otherwise(F.lit(0))
-    return rows.select("unit", "pos", "a", "b", t.cast("int").alias("t"), "line_no", F.max("line_no").over(run).alias("end_no"))
+    rows = rows.withColumn("t", t.cast("int")).withColumn("next", F.lead("t", 1, 0).over(by_words))
+    # Runs from here are the shortest ending there up to the end of the next
+    # line's shortest run, left out: there one line fewer is enough.
+    most = F.when(F.col("next") > 0, F.col("next")).otherwise(F.col("n") - F.col("pos"))
+    most = F.when(F.col("t") > 0, F.greatest("t", most)).otherwise(F.lit(0))
+    return rows.select("unit", "pos", "a", "b", "t", most.cast("int").alias("most"))
 
 
 def _ranks(keys: DataFrame, by: Sequence[str], scratch: Scratch, name: str) -> DataFrame:
@@ -79,17 +91,19 @@ def _ranks(keys: DataFrame, by: Sequence[str], scratch: Scratch, name: str) -> D
 
 
 def _later_copies(active: DataFrame, k: int, scratch: Scratch) -> DataFrame:
-    """Runs of t lines, k <= t < 2k, that are not the first of their interval.
+    """Runs of k to 2k - 1 lines that are not the first of their interval.
     (The first ones are written, so that the join with them is one of two
     plain shuffles, whose large partitions Spark can split.)"""
-    runs = active.where((F.col("t") >= k) & (F.col("t") < 2 * k)).withColumn("pos2", F.col("pos") + F.col("t") - k)
+    runs = active.where((F.col("most") >= k) & (F.col("t") < 2 * k) & (F.col("t") > 0))
+    lengths = F.sequence(F.greatest(F.col("t"), F.lit(k)), F.least(F.col("most"), F.lit(2 * k - 1)))
+    runs = runs.select("unit", "pos", "rank", F.explode(lengths).alias("t")).withColumn("pos2", F.col("pos") + F.col("t") - k)
     second = active.select("unit", F.col("pos").alias("pos2"), F.col("rank").alias("rank2"))
     runs = runs.join(second, ["unit", "pos2"])
     interval = ["t", "rank", "rank2"]
     first = runs.groupBy(*interval).agg(F.min(F.struct("unit", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = scratch.write(first.drop("n"), f"first{k}")
     later = runs.join(first, interval).where(F.struct("unit", "pos") != F.col("first"))
-    return later.select("unit", "pos", "t", "line_no", "end_no")
+    return later.groupBy("unit", "pos").agg(F.max("t").alias("t"))
 
 
 def repeated_runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -102,7 +116,7 @@ def repeated_runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORD
     repeated = lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b")
     ranks = _ranks(repeated, ["a", "b"], scratch, "ids")
     active = scratch.write(lines.join(ranks, ["a", "b"]).drop("a", "b"), "by1")
-    longest = active.agg(F.max("t")).first()[0] or 0
+    longest = active.agg(F.max("most")).first()[0] or 0
 
     k, later = 1, []
     while True:
@@ -117,15 +131,17 @@ def repeated_runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORD
         active = scratch.write(pairs.join(ranks, ["r1", "r2"]).drop("r1", "r2"), f"by{2 * k}")
         k *= 2
 
-    # Overlapping runs of a document are one maximal run.
+    # Runs of a document that overlap or touch are removed as one.
     marks = reduce(DataFrame.unionByName, later)
     so_far = Window.partitionBy("unit").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    begins = F.coalesce(F.col("pos") >= F.max(F.col("pos") + F.col("t")).over(so_far), F.lit(True))
+    begins = F.coalesce(F.col("pos") > F.max(F.col("pos") + F.col("t")).over(so_far), F.lit(True))
     run_no = F.sum(F.col("begins").cast("int")).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
     islands = marks.withColumn("begins", begins).withColumn("run", run_no).groupBy("unit", "run")
-    islands = islands.agg(F.min("line_no").alias("first"), F.max("end_no").alias("last"))
+    islands = islands.agg(F.min("pos").alias("first"), (F.max(F.col("pos") + F.col("t")) - 1).alias("last"))
     runs = islands.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
-    return runs.join(units.select("unit", "doc_id", "text_key"), "unit").select("doc_id", "text_key", "runs")
+    joined = runs.join(units.select("unit", "doc_id", "text_key", F.col("lines.line_no").alias("line_nos")), "unit")
+    numbered = F.transform("runs", lambda r: F.struct(F.get("line_nos", r["first"]).alias("first"), F.get("line_nos", r["last"]).alias("last")))
+    return joined.select("doc_id", "text_key", numbered.alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -161,7 +177,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_words: int = MIN_WOR
     return out.select(*docs.drop(*added).columns, *added)
 
 
-#: The same removal per document, from the text of each run (doc_id unique).
+#: The removal per document from the text of each run (doc_id unique), by the
+#: older rule: only shortest runs that start at a line, so tails of later copies
+#: with fewer than 50 words stay, and the operator removes more than this.
 ORACLE_SQL = r"""
 WITH lines AS (
     SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line,
