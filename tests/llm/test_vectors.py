@@ -117,6 +117,19 @@ def test_nearest_recall(spark, monkeypatch):
     assert np.mean(recall) > 0.95
 
 
+def test_descent_goes_on_until_it_settles(spark, monkeypatch):
+    monkeypatch.setattr(neighbour_graph, "BLOCK", 1000)
+    monkeypatch.setattr(neighbour_graph, "LEAF", 20)
+    x = np.random.default_rng(6).standard_normal((3000, 32)).astype("<f2")
+    nodes = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "node long, vec binary")
+    graph = neighbour_graph.build_graph(nodes, 32, neighbour_graph.Scratch(spark, "settle"), k=15, tables=2).collect()
+    sims = x.astype(np.float32) @ x.astype(np.float32).T
+    np.fill_diagonal(sims, -np.inf)
+    best = np.argsort(-sims, axis=1)[:, :15]
+    assert np.mean([len(set(best[r["node"]]) & set(r["ids"])) / 15 for r in graph]) > 0.9
+    assert neighbour_graph.grown_beam(120, 10_000) == 120 and neighbour_graph.grown_beam(120, 160_000) == 240
+
+
 def test_queries(spark, sf):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = sorted((tuple(r) for r in queries.op10_embedding_near_dedup(spark, sf).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
