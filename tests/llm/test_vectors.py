@@ -130,6 +130,25 @@ def test_descent_goes_on_until_it_settles(spark, monkeypatch):
     assert neighbour_graph.grown_beam(120, 10_000) == 120 and neighbour_graph.grown_beam(120, 160_000) == 240
 
 
+def test_copies_give_the_smallest_ids(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((900, 16)).astype(np.float32)
+    x[rng.permutation(900)[:300]] = 3 * x[0] / np.linalg.norm(x[0])  # more copies than a beam holds
+    rows = [(i, [float(v) for v in row], 0) for i, row in enumerate(x)]
+    got = {}
+    for r in neighbour_graph.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    x = x.astype(float)
+    same = np.unique(x, axis=0, return_inverse=True)[1].ravel()
+    hit = {}
+    for q in range(0, 900, 20):
+        sims = np.round(x @ x[q], 9)
+        sims[q] = -np.inf
+        want = np.lexsort((np.arange(900), -sims))[:20].tolist()
+        hit.setdefault(np.count_nonzero(same == same[q]) > 1, []).append(len(set(want) & {i for _, i in got[q]}) / 20)
+    assert set(hit) == {False, True} and min(hit[True]) == 1 and np.mean(hit[False]) > 0.95
+
+
 def test_queries(spark, sf):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = sorted((tuple(r) for r in queries.op10_embedding_near_dedup(spark, sf).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
