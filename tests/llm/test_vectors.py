@@ -121,7 +121,7 @@ def test_descent_goes_on_until_it_settles(spark, monkeypatch):
     monkeypatch.setattr(neighbour_graph, "BLOCK", 1000)
     monkeypatch.setattr(neighbour_graph, "LEAF", 20)
     x = np.random.default_rng(6).standard_normal((3000, 32)).astype("<f2")
-    nodes = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "node long, vec binary")
+    nodes = spark.createDataFrame([(i, bytearray(v.tobytes()), 1.0) for i, v in enumerate(x)], "node long, vec binary, norm double")
     graph = neighbour_graph.build_graph(nodes, 32, neighbour_graph.Scratch(spark, "settle"), k=15, tables=2).collect()
     sims = x.astype(np.float32) @ x.astype(np.float32).T
     np.fill_diagonal(sims, -np.inf)
@@ -149,6 +149,29 @@ def test_copies_give_the_smallest_ids(spark):
     assert set(hit) == {False, True} and min(hit[True]) == 1 and np.mean(hit[False]) > 0.95
 
 
+@pytest.mark.parametrize("case", ["outlier", "spread"])
+def test_recall_with_mixed_norms(spark, monkeypatch, case):
+    monkeypatch.setattr(neighbour_graph, "BLOCK", 400)
+    monkeypatch.setattr(neighbour_graph, "LEAF", 60)
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((1500, 16)).astype(np.float32)
+    if case == "outlier":
+        x[7] *= 1e12
+    else:
+        x *= (10 ** rng.uniform(-15, 15, (1500, 1))).astype(np.float32)
+    rows = [(i, [float(v) for v in row], 0) for i, row in enumerate(x)]
+    got = {}
+    for r in neighbour_graph.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x = x.astype(float)
+    recall = []
+    for q in range(0, 1500, 20):
+        sims = x @ x[q]
+        sims[q] = -np.inf
+        recall.append(len(set(np.argsort(-sims)[:20].tolist()) & got[q]) / 20)
+    assert np.mean(recall) > 0.95
+
+
 def test_queries(spark, sf):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = sorted((tuple(r) for r in queries.op10_embedding_near_dedup(spark, sf).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
