@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raceline.llm import binary_codes, chat_format, line_dedup, mixing, neighbour_graph, ngram_join, packing, quality, secret_scan, token_counts
-from raceline.llm.common import read
+from raceline.llm import (
+    binary_codes, chat_format, importance_resampling, line_dedup, mixing, neighbour_graph, ngram_join, packing, quality, secret_scan,
+    spelling_variants, token_counts, warc,
+)
+from raceline.llm.common import Scratch, read
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +71,23 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "archives").root
+    index = warc.write_archives(read(spark, sf_dir, "pages"), folder)
+    records = warc.read_records(index, folder, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op4_quality_classifier, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts, op9_nearest_neighbours, op10_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_source_mixing, op3_line_dedup, op4_quality_classifier, op5_chat_formatting, op6_ngram_jaccard_join, op7_best_fit_packing, op8_token_counts, op9_nearest_neighbours, op10_embedding_near_dedup, op11_warc, op12_importance_resampling, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -78,4 +96,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat_formatting": chat_format.ORACLE_SQL,
         "op6_ngram_jaccard_join": ngram_join.ORACLE_SQL,
         "op10_embedding_near_dedup": binary_codes.ORACLE_SQL,
+        "op11_warc": warc.ORACLE_SQL,
+        "op12_importance_resampling": importance_resampling.ORACLE_SQL,
+        "op13_spelling_variants": spelling_variants.ORACLE_SQL,
     }
