@@ -9,12 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-#: Partition column of tables that are written by ``publish_load``.
-LOAD_ID = "load_id"
+from raceline.sources.manifest import publish_load, read_published, read_table  # noqa: F401
 
 
 def anti_by_key(df: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
@@ -46,40 +44,15 @@ def anti_by_triple(df: DataFrame, target: DataFrame | None, keys: Sequence[str])
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Create-if-absent and append. A failed write job leaves no rows; a
-    driver lost in the middle of the job's commit can leave part of its
-    files, which ``publish_load`` guards against."""
+    """Create-if-absent and append, plainly. A failed write job leaves no rows,
+    but a driver lost in the middle of the job's commit can leave part of its
+    files: the loaders publish their loads instead (``sources.manifest``)."""
     writer = df.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
 
 
-def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
-    """Read an appended table; an absent table reads as empty."""
-    try:
-        return spark.read.format(fmt).schema(schema).load(path)
-    except Exception as exc:
-        if getattr(exc, "getCondition", lambda: None)() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def publish_load(df: DataFrame, path: str, load_id: str, partition_by: Sequence[str] = ()) -> None:
-    """Append rows under a load id, and name the id in ``<path>.published``
-    once they are all there. Readers trust published ids only, so a load
-    that was cut off, also in the middle of its commit, counts as not done."""
-    append_table(df.withColumn(LOAD_ID, F.lit(load_id)), path, partition_by=[LOAD_ID, *partition_by])
-    df.sparkSession.range(1).select(F.lit(load_id).alias("value")).coalesce(1).write.mode("append").text(f"{path}.published")
-
-
-def read_published(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Rows of the published loads; an absent table reads as empty."""
-    ids = read_table(spark, f"{path}.published", StructType([StructField("value", StringType())]), "text")
-    rows = read_table(spark, path, StructType([*schema.fields, StructField(LOAD_ID, StringType())]))
-    return rows.join(ids.select(F.col("value").alias(LOAD_ID)).distinct(), LOAD_ID, "left_semi").select(*schema.fieldNames())
-
-
 def load_metrics(landing: DataFrame, kept: DataFrame, deduped: DataFrame, new_rows: DataFrame) -> DataFrame:
     """One-row report of a load: landed rows, rows skipped as already loaded,
     duplicates removed and rows to insert. The four frames are tagged and

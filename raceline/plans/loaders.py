@@ -8,13 +8,17 @@ per dataset instead of one request loop per session):
 ``landing`` is the landed payload rows (possibly with ``detail`` envelopes
 and missing columns), ``target`` the rows already in the table (``None`` =
 empty table), ``sessions`` the raw sessions table used to choose what the
-loader asks for. ``run_load`` appends the result; running a loader again
-with the appended table as target yields no rows.
+loader asks for. ``run_load`` publishes the result as one load
+(``sources.manifest``); running a loader again with the table as target yields
+no rows, and a load that was cut off leaves none.
+
+Of rows that agree in a dedup key the first is kept: by payload order if the
+landing carries it (``read_landing(..., origin=True)``), else by date and the
+other columns.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,15 +29,8 @@ from raceline import schemas
 from raceline.session import checkpoint_dir
 from raceline.operators.conform import conform_fill, conform_keep, conform_require, nan_to_null_all
 from raceline.operators.dedup import dedup_keep_first
-from raceline.operators import incremental
-from raceline.operators.incremental import (
-    anti_by_key,
-    anti_by_pair,
-    anti_by_session,
-    anti_by_triple,
-    append_table,
-)
-from raceline.operators.pairs import chunk_filter, session_driver_pairs, session_driver_roster
+from raceline.operators.incremental import anti_by_key, anti_by_pair, anti_by_session, anti_by_triple
+from raceline.operators.pairs import chunk_filter, landed_of, session_driver_pairs, session_driver_roster
 from raceline.operators.sessions import (
     sessions_by_name,
     sessions_by_type,
@@ -41,8 +38,11 @@ from raceline.operators.sessions import (
     session_limit,
     skip_sessions,
 )
-from raceline.sources.landing import CORRUPT, DETAIL, FIELDS, drop_error_envelopes, rejected, stringify
+from raceline.sources.landing import CORRUPT, DETAIL, FIELDS, ORIGIN, drop_error_envelopes, stringify
 from raceline.sources.ledger import PAIR, append_ledger, ledger_skip, read_ledger
+from raceline.sources.manifest import adopt, new_load_id, publish_load, published_loads, read_published
+from raceline.sources.payloads import answered, tiled
+from raceline.sources.rejects import store_rejects
 
 # The dedup keys of the loaders (first row kept).
 DEDUP_KEYS: dict[str, list[str]] = {
@@ -76,11 +76,21 @@ def load_drivers(landing: DataFrame, target: DataFrame | None = None, keys: Sequ
 
 
 def _by_session(table: str, landing: DataFrame, target: DataFrame | None, sessions: DataFrame | None, dedup: bool) -> DataFrame:
-    rows = conform_fill(_clean(_requested(landing, sessions)), schemas.RAW[table])
+    rows = _conformed(_clean(_requested(landing, sessions)), table)
     rows = anti_by_session(rows, target)
     if dedup:
-        rows = dedup_keep_first(rows, DEDUP_KEYS[table])
-    return nan_to_null_all(rows)
+        rows = _first_of_each(rows, table)
+    return nan_to_null_all(rows.drop(ORIGIN))
+
+
+def _conformed(rows: DataFrame, table: str) -> DataFrame:
+    """The rows in the table's shape, and their origin if they have one."""
+    origin = [rows.schema[ORIGIN]] if ORIGIN in rows.columns else []
+    return conform_fill(rows, StructType([*schemas.RAW[table].fields, *origin]))
+
+
+def _first_of_each(rows: DataFrame, table: str) -> DataFrame:
+    return dedup_keep_first(rows, DEDUP_KEYS[table], [ORIGIN] if ORIGIN in rows.columns else None)
 
 
 def load_laps(landing: DataFrame, target: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
@@ -138,8 +148,12 @@ def load_meetings(landing: DataFrame, target: DataFrame | None = None) -> DataFr
 def load_sessions(landing: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Sessions: keep the columns present (the key is mandatory), one row per
     key, only keys not in the target."""
-    rows = conform_keep(_clean(landing), schemas.RAW["sessions"], "session_key")
-    rows = dedup_keep_first(rows, DEDUP_KEYS["sessions"])
+    rows = _clean(landing)
+    if ORIGIN in rows.columns:
+        rows = _conformed(rows, "sessions")
+    else:
+        rows = conform_keep(rows, schemas.RAW["sessions"], "session_key")
+    rows = _first_of_each(rows, "sessions").drop(ORIGIN)
     return nan_to_null_all(anti_by_key(rows, target, ["session_key"]))
 
 
@@ -147,8 +161,8 @@ def load_team_radio(landing: DataFrame, target: DataFrame | None = None, session
     """Row-level skip on (car, session, url) with NULL equal to NULL, applied
     after the batch itself is deduplicated on the same key."""
     chosen = sessions_by_type(sessions) if sessions is not None else None
-    rows = conform_fill(_clean(_requested(landing, chosen)), schemas.RAW["team_radio"])
-    rows = dedup_keep_first(rows, DEDUP_KEYS["team_radio"])
+    rows = _conformed(_clean(_requested(landing, chosen)), "team_radio")
+    rows = _first_of_each(rows, "team_radio").drop(ORIGIN)
     return nan_to_null_all(anti_by_triple(rows, target, DEDUP_KEYS["team_radio"]))
 
 
@@ -209,34 +223,10 @@ def load_car_data(
     return nan_to_null_all(conform_fill(inside, schemas.RAW["car_data"]))
 
 
-def _close_pairs(
-    spark: SparkSession,
-    candidates: DataFrame,
-    table_path: str,
-    ledger_path: str,
-    table: str,
-    rows_of,
-    partition_by: Sequence[str],
-) -> int:
-    """Append the rows of the candidate pairs, publish them, then ledger the
-    pairs.
-
-    Pairs that have published rows (a run that died between publishing and
-    the ledger) are not loaded again; they only go to the ledger. Rows of a
-    run that died earlier are not published, so its pairs are loaded anew and
-    no row comes twice or is lost. The table is read only for the candidate
-    sessions (it is partitioned by session_key)."""
-    candidates = candidates.checkpoint(eager=True)
-    existing = incremental.read_published(spark, table_path, schemas.RAW[table])
-    present = (
-        existing.join(candidates.select("session_key").distinct(), "session_key", "left_semi")
-        .select(*PAIR)
-        .distinct()
-    )
-    open_pairs = anti_by_pair(candidates, present).checkpoint(eager=True)
-    incremental.publish_load(rows_of(open_pairs), table_path, uuid.uuid4().hex, partition_by)
-    append_ledger(candidates, ledger_path)
-    return open_pairs.count()
+def _published_of(spark: SparkSession, path: str, table: str, pairs: DataFrame) -> DataFrame:
+    """Published rows of the pairs' sessions (the table is stored by session)."""
+    rows = read_published(spark, path, schemas.RAW[table])
+    return rows.join(pairs.select("session_key").distinct(), "session_key", "left_semi")
 
 
 def run_car_data_backfill(
@@ -248,20 +238,50 @@ def run_car_data_backfill(
     ledger_path: str,
     types: Sequence[str] = ("Race", "Qualifying"),
     partition_by: Sequence[str] = ("session_key",),
+    registry: DataFrame | None = None,
+    hours: int = 1,
 ) -> int:
-    """Resumable telemetry backfill: append the rows of all open pairs, then
-    append those pairs to the ledger. The ledger is written only after the
-    data job committed, so a failed write leaves its pairs open (a pair whose
-    payload is empty is done once the job commits). Returns the number of
-    pairs loaded."""
+    """Resumable telemetry backfill by hour chunk; returns the pairs that got
+    rows.
+
+    Landed chunks of the open pairs that have no published rows yet are
+    published as one load. A pair goes to the ledger when its chunks tile its
+    session: those answered according to ``registry`` (keys session_key,
+    driver_number, request_from, request_to; also empty answers) and those
+    with rows, landed or published before. A pair with a missing chunk stays
+    open and gets that chunk's rows when it has landed, each row once.
+    Without a registry an hour without any sample counts as missing."""
     checkpoint_dir(spark)
-    ledger = read_ledger(spark, ledger_path)
-    candidates = car_data_pairs(landing, sessions, drivers, ledger, types)
-
-    def rows_of(open_pairs: DataFrame) -> DataFrame:
-        return load_car_data(landing, ledger, sessions, drivers, types).join(open_pairs, PAIR, "left_semi")
-
-    return _close_pairs(spark, candidates, table_path, ledger_path, "car_data", rows_of, partition_by)
+    chosen = sessions_one_type(sessions, types)
+    samples = conform_fill(_clean(landing), schemas.RAW["car_data"])
+    asked = session_driver_pairs(chosen, drivers, samples)
+    if registry is not None:
+        asked = asked.unionByName(landed_of(registry.select(*PAIR), chosen, drivers)).distinct()
+    candidates = ledger_skip(asked, read_ledger(spark, ledger_path)).checkpoint(eager=True)
+
+    bounds = ["request_from", "request_to"]
+    held = chunk_filter(_published_of(spark, table_path, "car_data", candidates), chosen, candidates, hours)
+    held = held.select(*PAIR, *bounds).distinct().checkpoint(eager=True)
+    landed = chunk_filter(samples, chosen, candidates, hours)
+    fresh = landed.join(held.select(*PAIR, "request_from"), [*PAIR, "request_from"], "left_anti")
+    load_id = new_load_id()
+    publish_load(nan_to_null_all(conform_fill(fresh, schemas.RAW["car_data"])), table_path, load_id, partition_by)
+
+    chunks = landed.select(*PAIR, *bounds).distinct().unionByName(held)
+    if registry is not None:
+        told = answered(registry, [*PAIR, *bounds])
+        chunks = chunks.unionByName(told.select(*PAIR, *(F.col(c).cast("timestamp").alias(c) for c in bounds)))
+    cut = [F.date_trunc("second", c).alias(c) for c in ("date_start", "date_end")]
+    spans = candidates.join(chosen.select("session_key", *cut).dropDuplicates(["session_key"]), "session_key")
+    append_ledger(tiled(chunks, spans, PAIR, *bounds, "date_start", "date_end"), ledger_path)
+    return _rows_of_load(spark, table_path, "car_data", load_id).select(*PAIR).distinct().count()
+
+
+def _rows_of_load(spark: SparkSession, path: str, table: str, load_id: str) -> DataFrame:
+    """Rows of one published load."""
+    if not published_loads(spark, path).get(load_id):
+        return spark.createDataFrame([], schemas.RAW[table])
+    return spark.read.schema(schemas.RAW[table]).parquet(f"{path}/load_id={load_id}")
 
 
 def run_location_backfill(
@@ -273,18 +293,27 @@ def run_location_backfill(
     ledger_path: str,
     deny: Iterable[int] | DataFrame = (),
     partition_by: Sequence[str] = ("session_key",),
+    registry: DataFrame | None = None,
 ) -> int:
-    """Resumable location load: rows of every open pair are appended, then
-    the pairs go to the ledger, including pairs whose payload was empty or
-    lacked a required column (they count as done). Returns the pairs loaded."""
-    checkpoint_dir(spark)
-    ledger = read_ledger(spark, ledger_path)
-    candidates = location_resume_pairs(sessions, drivers, ledger, deny)
+    """Resumable location load; returns the pairs that were loaded and closed.
 
-    def rows_of(open_pairs: DataFrame) -> DataFrame:
-        return nan_to_null_all(_location_rows(landing, open_pairs))
-
-    return _close_pairs(spark, candidates, table_path, ledger_path, "location", rows_of, partition_by)
+    A pair is done when its payload has landed: when ``registry`` (keys
+    session_key, driver_number) has an answer for it, which may be empty, an
+    error envelope or without a required column, or when it has landed rows.
+    Any other pair of the roster stays open. Pairs that have published rows (a
+    run that died before the ledger) only go to the ledger."""
+    checkpoint_dir(spark)
+    todo = location_resume_pairs(sessions, drivers, read_ledger(spark, ledger_path), deny)
+    readable = landing.where(F.col(CORRUPT).isNull()) if CORRUPT in landing.columns else landing
+    there = readable.select(*PAIR).distinct()
+    if registry is not None:
+        there = answered(registry, PAIR).unionByName(there).distinct()
+    candidates = todo.join(there, PAIR, "left_semi").checkpoint(eager=True)
+    present = _published_of(spark, table_path, "location", candidates).select(*PAIR).distinct()
+    open_pairs = anti_by_pair(candidates, present).checkpoint(eager=True)
+    publish_load(nan_to_null_all(_location_rows(landing, open_pairs)), table_path, new_load_id(), partition_by)
+    append_ledger(candidates, ledger_path)
+    return open_pairs.count()
 
 
 #: The tables with many rows per session are stored by session.
@@ -293,16 +322,22 @@ PARTITIONED = {"car_data", "location", "position", "intervals"}
 
 def run_load(
     new_rows: DataFrame, table_path: str, partition_by: Sequence[str] | None = None, landing: DataFrame | None = None, reject_path: str | None = None
-) -> None:
-    """Append a loader result to its table, by default by session_key if the
-    path names one of the large per-session tables. With ``landing`` and
+) -> int:
+    """Publish a loader result as one load of its table, by default by
+    session_key if the path names one of the large per-session tables; returns
+    its rows. A run that is cut off leaves no rows, so the session or key
+    skips of the next run don't pass over what it had not written. Plain files
+    that the table already has become its first load. With ``landing`` and
     ``reject_path`` the landed objects that could not be read are stored
-    there as text."""
+    there, each once."""
+    table = table_path.rstrip("/").rsplit("/", 1)[-1]
     if partition_by is None:
-        partition_by = ("session_key",) if table_path.rstrip("/").rsplit("/", 1)[-1] in PARTITIONED else ()
-    append_table(new_rows, table_path, partition_by=partition_by)
+        partition_by = ("session_key",) if table in PARTITIONED else ()
+    adopt(new_rows.sparkSession, table_path, new_rows.schema, partition_by)
+    rows = publish_load(new_rows, table_path, new_load_id(), partition_by)
     if landing is not None and reject_path:
-        rejected(landing).write.mode("append").text(reject_path)
+        store_rejects(landing, reject_path)
+    return rows
 
 
 def location_metrics(landing: DataFrame, ledger: DataFrame, sessions: DataFrame, drivers: DataFrame, deny=()) -> DataFrame:

@@ -3,7 +3,8 @@
 This is how the models run on real data: the loaders append to one table
 per dataset under a root folder (parquet by default, optionally partitioned
 by session_key); ``read_raw_tables`` reads them back with the fixed DDL
-schemas (never inferred), lazily, and an absent table reads as empty.
+schemas (never inferred), lazily, and an absent table reads as empty. Of a
+table that the loaders wrote only published loads are read.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from raceline import schemas
-from raceline.operators.incremental import read_table
 from raceline.session import prepare
+from raceline.sources.manifest import read_stored
 
 
 class StoredRawTables(Mapping[str, DataFrame]):
@@ -26,7 +27,7 @@ class StoredRawTables(Mapping[str, DataFrame]):
         if name not in schemas.RAW:
             raise KeyError(name)
         if name not in self._cache:
-            df = read_table(self.spark, f"{self.root}/{name}", schemas.RAW[name], self.fmt)
+            df = read_stored(self.spark, f"{self.root}/{name}", schemas.RAW[name], self.fmt)
             self._cache[name] = df.select(*schemas.columns(name))
         return self._cache[name]
 

@@ -15,7 +15,7 @@ from raceline.operators.interval_join import interval_join, interval_left_aggreg
 from raceline.operators.quality import check_not_null, check_unique
 from raceline.plans import intermediate as it
 from raceline.plans import ingest_views, loaders
-from raceline.sources import landing, ledger
+from raceline.sources import landing, ledger, rejects
 from tests.conftest import frame, raw_of, ts
 
 SMOKE = "/root/testdata/sf0.001"
@@ -156,7 +156,7 @@ def test_nothing_landed_vanishes(spark, tmp_path):
     assert sorted(r.session_key for r in landing.drop_error_envelopes(landed).collect()) == [1, 3]
     assert sorted(r[0] for r in landing.rejected(landed).collect()) == sorted([lines[1], lines[2].replace(" ", ""), "null", "not json"])
     loaders.run_load(loaders.load_pit(landed), str(tmp_path / "t"), landing=landed, reject_path=str(tmp_path / "rejects"))
-    assert spark.read.text(str(tmp_path / "rejects")).count() == 4
+    assert rejects.read_rejects(spark, str(tmp_path / "rejects")).count() == 4
 
 
 def test_car_known_from_another_session_is_loaded(spark):
@@ -279,12 +279,13 @@ def test_location_backfill_resumes(spark, tmp_path):
         {"session_key": 3, "driver_number": 1, "date": ts("2024-03-01 10:00:00"), "x": 3.0, "y": 3.0, "z": 0.0},
     ])
     table, led = str(tmp_path / "location"), str(tmp_path / "ledger")
-    closed = loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3])
+    told = spark.createDataFrame([(1, 2, "empty"), (2, 1, "lacking"), (1, 1, "rows"), (2, 2, "rows")], "session_key int, driver_number int, status string")
+    closed = loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3], registry=told)
     assert closed == 4  # sessions 1 and 2, two cars each; empty and incomplete payloads count as done
     rows = incremental.read_published(spark, table, schemas.RAW["location"]).collect()
     # dedup ignores date; a null value is not a missing column
     assert sorted((r.session_key, r.date) for r in rows) == [(1, ts("2024-03-01 10:00:00")), (2, ts("2024-03-01 10:00:00"))]
-    assert loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3]) == 0
+    assert loaders.run_location_backfill(spark, loc, sessions, drivers, table, led, deny=[3], registry=told) == 0
 
 
 def test_backfill_rerun_after_crash_does_not_duplicate(spark, tmp_path):
@@ -294,7 +295,7 @@ def test_backfill_rerun_after_crash_does_not_duplicate(spark, tmp_path):
                                           "date_end": ts("2024-03-01 12:00:00")}])
     drivers = frame(spark, "drivers", [{"session_key": 1, "driver_number": n} for n in (1, 2)])
     car = frame(spark, "car_data", [
-        {"session_key": 1, "driver_number": n, "date": ts("2024-03-01 10:30:00"), "speed": 200 + n} for n in (1, 2)])
+        {"session_key": 1, "driver_number": n, "date": ts(f"2024-03-01 {h}:30:00"), "speed": 200 + n} for n in (1, 2) for h in (10, 11)])
     table, led = str(tmp_path / "car"), str(tmp_path / "ledger")
     # a run that died while its files became visible: part of its rows, not published
     car.filter("driver_number = 1").withColumn("load_id", F.lit("cut-off")).write.partitionBy("load_id", "session_key").parquet(table)
@@ -302,7 +303,7 @@ def test_backfill_rerun_after_crash_does_not_duplicate(spark, tmp_path):
     incremental.publish_load(car.filter("driver_number = 2"), table, "done", ["session_key"])
     assert loaders.run_car_data_backfill(spark, car, sessions, drivers, table, led) == 1
     rows = incremental.read_published(spark, table, schemas.RAW["car_data"]).collect()
-    assert sorted(r.driver_number for r in rows) == [1, 2]
+    assert sorted(r.driver_number for r in rows) == [1, 1, 2, 2]
     assert ledger.read_ledger(spark, led).count() == 2
     assert loaders.run_car_data_backfill(spark, car, sessions, drivers, table, led) == 0
 
