@@ -9,6 +9,11 @@ bucket, so the join is an equi join on ``keys + bucket`` with the BETWEEN as
 a cheap residual. A hot key is spread over as many tasks as it has buckets,
 every (point, range) pair is produced exactly once, and the result does not
 depend on the bucket width (only the cost does).
+
+A range that covers more than MOST_BUCKETS buckets, for example a lap of a
+wrong duration of years, is not exploded into all of them: its buckets are
+2, 4, 8, ... times as wide, so that it has MOST_BUCKETS rows at most. Points
+get a row for each such level that a range uses, one row in ordinary data.
 """
 
 from __future__ import annotations
@@ -19,7 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-_BUCKET = "__bucket"
+_BUCKET, _LEVEL = "__bucket", "__level"
+#: Rows of a range, at most (a power of two).
+MOST_BUCKETS = 64
 
 
 def _axis(df: DataFrame, name: str) -> tuple[Column, bool]:
@@ -45,25 +52,46 @@ def _check(points: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"interval join: rename shared non-key columns first: {sorted(shared)}")
 
 
-def bucketed_points(points: DataFrame, point: str, width: float | None) -> DataFrame:
+def _bits(n: Column) -> Column:
+    """Binary digits of a non-negative long (0 has one)."""
+    return F.length(F.bin(n))
+
+
+def _shifted(n: Column, by: Column) -> Column:
+    return F.call_function("shiftright", n, by.cast("int"))
+
+
+def _levelled(ranges: DataFrame, lo: str, hi: str, width: float) -> DataFrame:
+    """The ranges with the buckets of their ends and their level: the least at
+    which they cover MOST_BUCKETS buckets or fewer."""
+    lo_axis, is_time = _axis(ranges, lo)
+    hi_axis, _ = _axis(ranges, hi)
+    w = _width(is_time, width)
+    located = ranges.withColumns({"__first": _bucket_of(lo_axis, w), "__last": _bucket_of(hi_axis, w)})
+    many = F.greatest(F.lit(0), _bits(F.greatest(F.lit(0).cast("long"), F.col("__last") - F.col("__first"))) - _bits(F.lit(MOST_BUCKETS - 1).cast("long")))
+    return located.withColumn(_LEVEL, F.coalesce(many, F.lit(0)).cast("int"))
+
+
+def bucketed_points(points: DataFrame, point: str, ranges: DataFrame, lo: str, hi: str, width: float | None) -> DataFrame:
+    """One row per point and level that a range uses."""
     if width is None:
-        return points.withColumn(_BUCKET, F.lit(0).cast("long"))
+        return points.withColumns({_LEVEL: F.lit(0), _BUCKET: F.lit(0).cast("long")})
     axis, is_time = _axis(points, point)
-    return points.withColumn(_BUCKET, _bucket_of(axis, _width(is_time, width)))
+    used = _levelled(ranges.select(lo, hi), lo, hi, width).agg(F.collect_set(_LEVEL)).scalar()
+    located = points.withColumn("__at", _bucket_of(axis, _width(is_time, width))).withColumn(_LEVEL, F.explode(used))
+    return located.withColumn(_BUCKET, _shifted(F.col("__at"), F.col(_LEVEL))).drop("__at")
 
 
 def bucketed_ranges(ranges: DataFrame, lo: str, hi: str, width: float | None) -> DataFrame:
-    """One row per (range, covered bucket). Empty or NULL ranges keep a single
-    row (they match nothing but survive a left join). ``width=None`` puts
-    everything in one bucket: the plain equi join with the BETWEEN residual."""
+    """One row per (range, covered bucket of its level). Empty or NULL ranges
+    keep a single row (they match nothing but survive a left join).
+    ``width=None`` puts everything in one bucket: the plain equi join with the
+    BETWEEN residual."""
     if width is None:
-        return ranges.withColumn(_BUCKET, F.lit(0).cast("long"))
-    lo_axis, is_time = _axis(ranges, lo)
-    hi_axis, _ = _axis(ranges, hi)
-    w = _width(is_time, width)
-    first, last = _bucket_of(lo_axis, w), _bucket_of(hi_axis, w)
+        return ranges.withColumns({_LEVEL: F.lit(0), _BUCKET: F.lit(0).cast("long")})
+    first, last = (_shifted(F.col(c), F.col(_LEVEL)) for c in ("__first", "__last"))
     covered = F.when(first <= last, F.sequence(first, last)).otherwise(F.array(first))
-    return ranges.withColumn(_BUCKET, F.explode(covered))
+    return _levelled(ranges, lo, hi, width).withColumn(_BUCKET, F.explode(covered)).drop("__first", "__last")
 
 
 def interval_join(
@@ -81,10 +109,11 @@ def interval_join(
     ``width`` is the bucket width in seconds for timestamp axes, in units
     otherwise."""
     _check(points, ranges, keys)
-    p = bucketed_points(points, point, width).alias("p")
+    p = bucketed_points(points, point, ranges, lo, hi, width).alias("p")
     r = bucketed_ranges(ranges, lo, hi, width).alias("r")
     cond = [F.col(f"p.{k}") == F.col(f"r.{k}") for k in keys]
     cond += [
+        F.col(f"p.{_LEVEL}") == F.col(f"r.{_LEVEL}"),
         F.col(f"p.{_BUCKET}") == F.col(f"r.{_BUCKET}"),
         F.col(f"p.{point}") >= F.col(f"r.{lo}"),
         (F.col(f"p.{point}") <= F.col(f"r.{hi}")) if hi_inclusive else (F.col(f"p.{point}") < F.col(f"r.{hi}")),
@@ -112,41 +141,44 @@ def interval_left_aggregate(
     NULL rows, which such aggregates skip, and a range without any match still
     yields its group with NULL aggregates, exactly as the plain left join."""
     _check(points, ranges, keys)
-    p = bucketed_points(points, point, width).alias("p")
+    p = bucketed_points(points, point, ranges, lo, hi, width).alias("p")
     r = bucketed_ranges(ranges, lo, hi, width).alias("r")
     cond = [F.col(f"p.{k}") == F.col(f"r.{k}") for k in keys]
     cond += [
+        F.col(f"p.{_LEVEL}") == F.col(f"r.{_LEVEL}"),
         F.col(f"p.{_BUCKET}") == F.col(f"r.{_BUCKET}"),
         F.col(f"p.{point}") >= F.col(f"r.{lo}"),
         F.col(f"p.{point}") <= F.col(f"r.{hi}"),
     ]
     cols = [F.col(f"r.`{c}`") for c in ranges.columns]
-    cols += [F.col(f"p.`{c}`") for c in points.columns if c not in keys and c != _BUCKET]
+    cols += [F.col(f"p.`{c}`") for c in points.columns if c not in keys]
     joined = r.join(p, cond, "left").select(*cols)
     return joined.groupBy(*group_by).agg(*aggs)
 
 
-#: Blocks of a coarser level hold so many of the finer one.
-LEVEL_FACTOR = 8
-
+#: Levels of the blocks of ``range_aggregate``: each twice as wide as the one
+#: below, so 40 of them from any width on hold all of the time axis in one.
+LEVELS = 40
+#: Added to block numbers, so that none is negative.
+_ORIGIN = 1 << 42
 
-def _cover(first: Column, end: Column, levels: int) -> Column:
-    """Blocks [first, end) of the finest level as the fewest aligned blocks of
-    all levels: array of (level, block)."""
-    parts, a, b = [], first, end
-    for level in range(levels):
-        up = F.ceil(a / F.lit(LEVEL_FACTOR)).cast("long")
-        down = F.floor(b / F.lit(LEVEL_FACTOR)).cast("long")
-        last = F.lit(level == levels - 1)
-        inner = ~last & (up < down)
 
-        def span(lo: Column, hi: Column, level: int = level) -> Column:
-            blocks = F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<bigint>"))
-            return F.transform(blocks, lambda x: F.struct(F.lit(level).alias("level"), x.alias("block")))
+def dyadic_cover(first: Column, end: Column) -> Column:
+    """The blocks [first, end) as the fewest aligned blocks of 1, 2, 4, ...
+    times the size: array of (level, block), at most two per level.
 
-        parts += [span(a, F.when(inner, up * LEVEL_FACTOR).otherwise(b)), span(F.when(inner, down * LEVEL_FACTOR).otherwise(b), b)]
-        a, b = F.when(inner, up).otherwise(F.lit(0)), F.when(inner, down).otherwise(F.lit(0))
-    return F.concat(*parts)
+    With l = first - 1 and r = end taken as leaves of a binary tree, these are
+    the right neighbours of the left children above l and the left neighbours
+    of the right children above r, below their common parent."""
+    left, right = first - 1, end
+    levels = F.sequence(F.lit(0), _bits(left.bitwiseXOR(right)) - 2)
+    above_left = F.filter(levels, lambda k: _shifted(left, k) % 2 == 0)
+    above_right = F.filter(levels, lambda k: _shifted(right, k) % 2 == 1)
+    pieces = F.concat(
+        F.transform(above_left, lambda k: F.struct(k.alias("level"), (_shifted(left, k) + 1).alias("block"))),
+        F.transform(above_right, lambda k: F.struct(k.alias("level"), (_shifted(right, k) - 1).alias("block"))),
+    )
+    return F.when(right - left > 1, pieces).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
 
 
 def range_aggregate(
@@ -158,35 +190,34 @@ def range_aggregate(
     hi: str,
     width: float,
     partials: dict[str, tuple[Column, Callable[[str], Column]]],
-    levels: int = 5,
 ) -> DataFrame:
     """``ranges`` (distinct rows) with aggregates over the points in ``[lo, hi]``,
     NULL (sums, max) for a range without points. ``partials``: name -> (the
     aggregate over points, the function that merges two of them).
 
-    The points are aggregated once per block of ``width`` and once per
-    coarser block. A range takes the coarsest blocks inside it as one row
-    each (a few per level) and reads single points only in the two finest
-    blocks that hold its ends."""
-    columns = ranges.columns
+    The points are aggregated per instant, per block of ``width`` and per
+    block of each coarser level. A range takes the coarsest blocks inside it,
+    at most two a level, and the instants of the two blocks that hold its
+    ends, all in one join."""
     axis, is_time = _axis(points, point)
     w = _width(is_time, width)
-    located = points.withColumn(_BUCKET, _bucket_of(axis, w))
-    finest = located.groupBy(*keys, F.col(_BUCKET).alias("block")).agg(*[a.alias(n) for n, (a, _) in partials.items()])
-    blocks, level_rows = finest.select(*keys, F.lit(0).alias("level"), "block", *partials), finest
-    for level in range(1, levels):
-        coarse = F.floor(F.col("block") / F.lit(LEVEL_FACTOR)).cast("long").alias("block")
-        level_rows = level_rows.groupBy(*keys, coarse).agg(*[m(n).alias(n) for n, (_, m) in partials.items()])
-        blocks = blocks.unionByName(level_rows.select(*keys, F.lit(level).alias("level"), "block", *partials))
-
-    first, last = (_bucket_of(_axis(ranges, c)[0], w) for c in (lo, hi))
-    bounded = ranges.where(F.col(lo) <= F.col(hi)).withColumns({"__first": first, "__last": last})
-    whole = bounded.withColumn("__x", F.explode(_cover(F.col("__first") + 1, F.col("__last"), levels)))
-    whole = whole.select(*columns, F.col("__x.level").alias("level"), F.col("__x.block").alias("block"))
-    of_blocks = whole.join(blocks, [*keys, "level", "block"]).select(*columns, *partials)
-
-    ends = bounded.withColumn(_BUCKET, F.explode(F.array_distinct(F.array("__first", "__last")))).drop("__first", "__last")
-    inside = ends.join(located, [*keys, _BUCKET]).where((F.col(point) >= F.col(lo)) & (F.col(point) <= F.col(hi)))
-    of_ends = inside.groupBy(*columns).agg(*[a.alias(n) for n, (a, _) in partials.items()])
-    merged = of_blocks.unionByName(of_ends).groupBy(*columns).agg(*[m(n).alias(n) for n, (_, m) in partials.items()])
-    return ranges.join(merged, columns, "left")
+    merged = [m(n).alias(n) for n, (_, m) in partials.items()]
+    instants = points.groupBy(*keys, F.col(point).alias("__at")).agg(*[a.alias(n) for n, (a, _) in partials.items()])
+    at_axis, _ = _axis(instants, "__at")
+    instants = instants.where(F.col("__at").isNotNull()).withColumn("block", _bucket_of(at_axis, w) + _ORIGIN)
+    finest = instants.groupBy(*keys, "block").agg(*merged)
+    levelled = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))).withColumn("block", _shifted(F.col("block"), F.col("level")))
+    blocks = levelled.groupBy(*keys, "level", "block").agg(*merged).withColumn("__at", F.lit(None).cast(points.schema[point].dataType))
+    held = instants.withColumn("level", F.lit(-1)).unionByName(blocks)
+    held = held.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("level").alias("__level"), F.col("block").alias("__block"), "__at", *partials)
+
+    first, last = (_bucket_of(_axis(ranges, c)[0], w) + _ORIGIN for c in (lo, hi))
+    located = ranges.withColumns({"__first": first, "__last": last})
+    whole = dyadic_cover(F.col("__first") + 1, F.col("__last"))
+    ends = F.transform(F.array_distinct(F.array("__first", "__last")), lambda x: F.struct(F.lit(-1).alias("level"), x.alias("block")))
+    pieces = F.when(F.col(lo) <= F.col(hi), F.concat(whole, ends))
+    asked = located.withColumn("__x", F.explode_outer(pieces)).drop("__first", "__last")
+    same = [F.col(k) == F.col(f"__{k}") for k in keys]
+    same += [F.col("__x.level") == F.col("__level"), F.col("__x.block") == F.col("__block")]
+    same += [F.col("__at").isNull() | F.col("__at").between(F.col(lo), F.col(hi))]
+    return asked.join(held, same, "left").groupBy(*ranges.columns).agg(*merged)

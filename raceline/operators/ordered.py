@@ -73,14 +73,14 @@ def blocked_running_max(
 
 
 def blocked_row_numbers(
-    df: DataFrame, keys: Sequence[str], numbers: dict[str, tuple[Column, Sequence[Column]]], materialize: bool = True
+    df: DataFrame, keys: Sequence[str], numbers: dict[str, tuple[Column, Sequence[Column]]], materialize: bool = False
 ) -> DataFrame:
     """Add ``out = row_number() over (partition by keys order by order)`` for
-    each ``out: (block, order)``, all from one materialisation of ``df``."""
+    each ``out: (block, order)``. All of them read ``df`` from one exchange by
+    the first block, or from one materialisation of it."""
     names = {out: f"__block_{out}" for out in numbers}
     df = df.withColumns({names[out]: block for out, (block, _) in numbers.items()})
-    if materialize:
-        df = _materialized(df)
+    df = _materialized(df) if materialize else df.repartition(*keys, next(iter(names.values())))
     ranked = df
     for out, (_, order) in numbers.items():
         block = names[out]

@@ -78,20 +78,21 @@ def lap_position_samples(raw: Raw) -> DataFrame:
     )
 
 
-def int_lap_position(raw: Raw) -> DataFrame:
+def int_lap_position(raw: Raw, materialize: bool = False) -> DataFrame:
     """Position samples inside each lap with the nearest-sample ranks to the
     lap start and end (ties: smaller position, then earlier sample).
 
     A lap's samples are numbered in blocks of RANK_BLOCK_SECONDS of distance,
     each shifted by the samples of the nearer blocks, so no task sorts a whole
-    lap. The samples are materialised once for both ranks.
+    lap. Both ranks read the samples from one exchange; ``materialize`` writes
+    them to the checkpoint folder first, which runs a job here and now.
     """
     keys = [*PAIR, "lap_number"]
     tie = [F.col("position").asc_nulls_last(), F.col("date").asc_nulls_last(), F.col("date_start").asc_nulls_last()]
     ranks = {"start_position_rank": "start_time_diff", "end_position_rank": "end_time_diff"}
     blocks = {diff: F.floor(F.col(diff) / RANK_BLOCK_SECONDS) for diff in ranks.values()}
     inside = blocked_row_numbers(
-        lap_position_samples(raw), keys, {rank: (blocks[diff], [F.col(diff).asc_nulls_last(), *tie]) for rank, diff in ranks.items()}
+        lap_position_samples(raw), keys, {rank: (blocks[diff], [F.col(diff).asc_nulls_last(), *tie]) for rank, diff in ranks.items()}, materialize
     )
     return inside.select(
         *PAIR, "position", "date", "lap_number", "date_start", "date_end", "start_time_diff", "end_time_diff",
@@ -141,23 +142,22 @@ def int_tyre_stints_weather(raw: Raw) -> DataFrame:
     """Mean weather inside each stint window; no sample -> NULL means, which
     classify as 'Hot' and 'Dry'.
 
-    Stints with the same window share one computation, and a window takes
-    whole time blocks as one row each, so the joined rows grow with windows
-    and samples and not with their product. The means divide exact sums."""
+    A window takes whole time blocks as one row each, two of each size at
+    most, so the joined rows grow with windows and samples and not with their
+    product. The means divide exact sums."""
     stints = int_tyre_stint_laps(raw)
-    window = ["session_key", "stint_start_time", "stint_end_time"]
     measures = {"air_temperature": "avg_air_temp", "track_temperature": "avg_track_temp", "humidity": "avg_humidity", "wind_speed": "avg_wind_speed"}
     weather = stg.stg_weather(raw).select("session_key", "date", "rainfall", *measures)
     partials = {f"sum_{c}": (exact_sum(c), F.sum) for c in measures}
     partials |= {f"n_{c}": (F.count(c), F.sum) for c in measures}
     partials["had_rainfall"] = (F.max("rainfall"), F.max)
     totals = range_aggregate(
-        stints.select(*window).distinct(), weather, ["session_key"], "date", "stint_start_time", "stint_end_time", WEATHER_BLOCK_SECONDS, partials
+        stints, weather, ["session_key"], "date", "stint_start_time", "stint_end_time", WEATHER_BLOCK_SECONDS, partials
     )
     means = [(F.col(f"sum_{c}").cast("double") / F.when(F.col(f"n_{c}") > 0, F.col(f"n_{c}"))).alias(out) for c, out in measures.items()]
-    conditions = totals.select(*window, *means, "had_rainfall")
+    conditions = totals.select(*stints.columns, *means, "had_rainfall")
     track = F.col("avg_track_temp")
-    return stints.join(conditions, window, "left").select(
+    return conditions.select(
         *PAIR, "stint_number", "compound", "lap_start", "lap_end", "stint_length",
         "avg_air_temp", "avg_track_temp", "avg_humidity", "had_rainfall", "avg_wind_speed",
         F.when(track < TRACK_COLD_BELOW, "Cold").when(track < TRACK_MEDIUM_BELOW, "Medium").otherwise("Hot").alias("track_temp_category"),

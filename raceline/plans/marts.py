@@ -239,18 +239,18 @@ def final_historical_analysis(raw: Raw, numeric_gaps: bool = False) -> DataFrame
     metrics = (
         laps.join(first, PAIR, "left")
         .join(gaps, lap_key, "left")
-        .join(ends, [*PAIR, "lap_number"], "left")
         .dropDuplicates()
     )
     # Start/end positions depend on (session, driver, lap_number) only: the
     # running MAX is computed on one row per lap number, per block of
-    # LAP_BLOCK laps plus a prefix over the blocks, and joined back.
+    # LAP_BLOCK laps plus a prefix over the blocks, and joined back together
+    # with the positions themselves.
     lap_numbers = laps.select(*PAIR, "lap_number").distinct().join(ends, [*PAIR, "lap_number"], "left")
     running = blocked_running_max(
         lap_numbers.withColumn("__lap_block", F.floor(F.col("lap_number") / LAP_BLOCK)),
         PAIR, "__lap_block", [F.col("lap_number").asc_nulls_last()],
         {"__run_start": "start_position", "__run_end": "end_position"},
-    ).select(*PAIR, "lap_number", "__run_start", "__run_end")
+    ).select(*PAIR, "lap_number", "start_position", "end_position", "__run_start", "__run_end")
     metrics = join_null_safe(metrics, running, [*PAIR, "lap_number"], "left")
 
     def filled(col: str, running: str) -> F.Column:
