@@ -177,26 +177,32 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_words: int = MIN_WOR
     return out.select(*docs.drop(*added).columns, *added)
 
 
-#: The removal per document from the text of each run (doc_id unique), by the
-#: older rule: only shortest runs that start at a line, so tails of later copies
-#: with fewer than 50 words stay, and the operator removes more than this.
+#: The later copies of all pairs of equal line runs that can't be made longer,
+#: found on the diagonals of equal line pairs (doc_id unique, small tables).
 ORACLE_SQL = r"""
 WITH lines AS (
     SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line,
            len(regexp_extract_all(string_split(text, chr(10))[i], '[^\x20\x09-\x0D]+')) AS words
     FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
-), starts AS (
-    SELECT *, CAST(coalesce(sum(words) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
-    FROM lines WHERE words > 0
+), solid AS (
+    SELECT doc_id, line_no, line, words, row_number() OVER w AS p, lead(line_no) OVER w AS next_no
+    FROM lines WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)
+), pairs AS (
+    SELECT a.doc_id AS early, b.doc_id AS late, a.p AS p, b.p - a.p AS diagonal, b.words
+    FROM solid a JOIN solid b ON a.line = b.line AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.p < b.p))
+), islands AS (
+    SELECT *, p - row_number() OVER (PARTITION BY early, late, diagonal ORDER BY p) AS island FROM pairs
 ), runs AS (
-    SELECT doc_id, line_no, max(line_no) OVER run AS end_no, sum(words) OVER run AS run_words,
-           array_to_string(list(line) OVER run, chr(10)) AS content
-    FROM starts WINDOW run AS (PARTITION BY doc_id ORDER BY ahead RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
-), later AS (
-    SELECT doc_id, line_no, end_no FROM runs WHERE run_words >= 50
-    QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, line_no) > 1
+    SELECT late, min(p) + diagonal AS first, max(p) + diagonal AS last FROM islands
+    GROUP BY early, late, diagonal, island HAVING sum(words) >= 50
+), cut AS (
+    SELECT DISTINCT late AS doc_id, unnest(range(first, last + 1)) AS p FROM runs
+), cut_lines AS (
+    SELECT s.doc_id, s.p, s.line_no, s.next_no FROM solid s JOIN cut c ON c.doc_id = s.doc_id AND c.p = s.p
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(range(line_no, end_no + 1)) AS line_no FROM later
+    SELECT doc_id, line_no FROM cut_lines
+    UNION
+    SELECT a.doc_id, unnest(range(a.line_no, a.next_no)) FROM cut_lines a JOIN cut_lines b ON b.doc_id = a.doc_id AND b.p = a.p + 1
 ), counts AS (
     SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id
 ), rest AS (

@@ -8,8 +8,6 @@ two probabilities is 0 or 1; the direction is drawn so that each document
 keeps its expected number of copies. The moved words leave the expected total
 as it was, so a source's taken words stay at its target but for the one
 document that is left at the very end, which is rounded to the nearer side.
-A block is drawn ``DRAWINGS`` times, and the drawing whose left document has
-the fewest words to round off is kept.
 
 The pairs form a reduction tree. Blocks of about ``FAN_IN`` documents are
 settled one document after the other, the largest first, so that what stays
@@ -31,7 +29,7 @@ from raceline.llm.common import WORD, Scratch
 
 #: Documents or residuals that one block settles, about.
 FAN_IN = 100
-#: Drawings of a block, of which the one that leaves the fewest words open counts.
+#: Drawings of a block, of which the first that leaves the fewest words open counts.
 DRAWINGS = 12
 #: A probability this near to 0 or 1 is settled.
 EPS = 1e-9
@@ -50,9 +48,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float
         F.sum(F.col("size") * F.col("n_rows")).alias("source_size"), F.count(F.lit(1)).alias("n_units")
     )
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1)
-    weighed = total_each.withColumn("weight", weight.cast("double")).withColumn("cap", F.col("source_size") * F.lit(float(most)))
-    by_cap = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.col("place") - 1, F.lit(len(weights))) + 1)
+    weighed = total_each.withColumn("place", F.row_number().over(by_name)).withColumn("weight", weight.cast("double")).withColumn("cap", F.col("source_size") * F.lit(float(most)))
+    by_cap = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("place"))
     everything = Window.partitionBy()
     levels = weighed.select(
         "*",
@@ -61,7 +59,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float
         F.sum("weight").over(by_cap.rowsBetween(0, Window.unboundedFollowing)).alias("weight_from"),
     ).withColumn("level", (F.col("total") - F.col("capped_before")) / F.col("weight_from"))
     is_capped = F.col("cap") <= F.col("level") * F.col("weight")
-    levels = levels.withColumn("final", F.min(F.when(~is_capped, F.struct(F.col("cap") / F.col("weight"), F.col("level")))).over(everything)["level"])
+    levels = levels.withColumn("final", F.min(F.when(~is_capped, F.struct(F.col("cap") / F.col("weight"), "place", "level"))).over(everything)["level"])
     target = F.when(is_capped | F.col("final").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("final") * F.col("weight")))
     return levels.select("source", "source_size", "n_units", target.alias("target"))
 
@@ -112,9 +110,11 @@ def _settled(units: Column, doc_id_kind: str, seed: int) -> Column:
 
         return F.aggregate(units, state(F.array().cast(done_kind), F.lit(None).cast(unit_kind)), merge)
 
-    drawn = F.transform(F.sequence(F.lit(1), F.lit(DRAWINGS)), settle)
-    left_open = F.transform(drawn, lambda d: F.struct((off(d["carry"]["p"]) * d["carry"]["size"]).alias("open"), d["done"].alias("done"), d["carry"].alias("carry")))
-    return F.array_min(left_open)
+    drawn = F.transform(F.sequence(F.lit(1), F.lit(DRAWINGS)), lambda i: F.struct(i.alias("i"), settle(i).alias("out")))
+    left_open = F.transform(
+        drawn, lambda d: F.struct(F.round(off(d["out"]["carry"]["p"]) * d["out"]["carry"]["size"], 6).alias("open"), d["i"].alias("i"), d["out"].alias("out"))
+    )
+    return F.array_min(left_open)["out"]
 
 
 def copies(docs: DataFrame, text: str = "text", seed: int = 2, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:

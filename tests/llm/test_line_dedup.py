@@ -6,37 +6,6 @@ from raceline.llm import line_dedup
 from tests.llm.conftest import documents
 
 
-def brute(rows, min_words):
-    """Lines that stay, per document, from every run as text."""
-    docs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda x: (x[0] is None, x[0] or 0))
-    seen, gone = set(), {}
-    for doc_id, text in docs:
-        lines = [(n, x) for n, x in enumerate(text.split("\n")) if x.split()]
-        cut = set()
-        for i in range(len(lines)):
-            words = 0
-            for t in range(i, len(lines)):
-                words += len(lines[t][1].split())
-                if words >= min_words:
-                    run = tuple(x for _, x in lines[i : t + 1])
-                    if run in seen:
-                        cut.update(range(lines[i][0], lines[t][0] + 1))
-                    seen.add(run)
-                    break
-        gone[doc_id] = cut
-    return {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i]) for i, t in docs}
-
-
-def test_equals_brute_force(spark):
-    random.seed(1)
-    pool = [" ".join(random.choice("abcde") for _ in range(random.randint(1, 5))) for _ in range(12)] + ["", " "]
-    for min_words in (4, 9):
-        rows = [(i, "\n".join(random.choice(pool) for _ in range(random.randint(1, 30)))) for i in range(25)]
-        rows.append((25, rows[3][1]))
-        got = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(documents(spark, rows), min_words=min_words).collect()}
-        assert got == brute(rows, min_words)
-
-
 def test_passage_goes_from_later_documents_and_clean_ones_stay(spark):
     passage = "\n".join(f"line {i} of a passage that many documents share with each other" for i in range(6))
     rows = [(i, f"own start {i}\n{passage}\nown end {i}") for i in range(4)] + [(9, "a clean text\nwith lines\nline 0 of its own")]

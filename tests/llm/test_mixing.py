@@ -36,6 +36,15 @@ def test_targets_reshare_the_excess(spark):
         assert abs(got[s] - want[s]) < 1e-6
 
 
+def test_targets_of_tied_sources(spark):
+    for sizes in ({f"s{i}": 100 for i in range(6)}, {f"s{i:03}": 20 for i in range(300)}, {"a": 10, "b": 20, "c": 30, "d": 1, "e": 2, "f": 3}):
+        rows = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size long, n_rows long")
+        got = {r["source"]: r["target"] for r in mixing.targets(rows).collect()}
+        want = fill(sizes)
+        assert abs(sum(got.values()) - sum(sizes.values())) < 1e-6
+        assert all(abs(got[s] - want[s]) < 1e-6 for s in want)
+
+
 def check(rows, sizes_of):
     by_source = defaultdict(list)
     for r in rows:
@@ -79,6 +88,23 @@ def test_copies_have_the_expected_frequency(spark):
     assert abs(total / 6 / 20 - 2 / 3) < 0.12
 
 
+def test_copies_of_each_document_over_many_seeds(spark):
+    """Equal sizes, a tenth of a copy each: 3 sigma over 200 drawings, by
+    quarters of the ids and for the documents one by one."""
+    unit = F.struct(F.lit(10).cast("long").alias("size"), F.col("id").alias("doc_id"), F.lit(10).cast("long").alias("words"), F.lit(0.1).alias("p"))
+    blocks = spark.range(20).select(unit.alias("unit")).agg(F.sort_array(F.collect_list("unit"), asc=False).alias("units")).cache()
+    taken = [0] * 20
+    for seed in range(200):
+        out = blocks.select(mixing._settled(F.col("units"), "bigint", seed).alias("out")).select("out.*").first()
+        for d in out["done"]:
+            taken[d["doc_id"]] += d["x"]
+        taken[out["carry"]["doc_id"]] += round(out["carry"]["p"])
+    assert sum(taken) == 400  # two copies in each drawing
+    for q in range(4):
+        assert abs(sum(taken[5 * q : 5 * q + 5]) / 1000 - 0.1) < 3 * (0.1 * 0.9 / 1000) ** 0.5
+    assert all(abs(n / 200 - 0.1) < 4 * (0.1 * 0.9 / 200) ** 0.5 for n in taken)
+
+
 def test_odd_rows(spark, odd, odd_clashing, empty):
     got = mixing.mix(odd).collect()
     assert len(got) == 10
