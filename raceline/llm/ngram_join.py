@@ -47,6 +47,10 @@ RUN_NODES = 4_000
 NODE_SHINGLES = 100
 BLOCK_SHINGLES = 400_000
 
+#: Bits of the filter of wanted texts (8 MB): the bound of what is broadcast with it.
+FILTER_BITS = 1 << 26
+FILTER_PARTS = 64
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -326,6 +330,43 @@ def block_links(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray) ->
     return links
 
 
+def _positions(key: Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(FILTER_BITS)) for seed in (61, 62)]
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of the column ``key``: a bit map of FILTER_BITS bits, two
+    a key. Its parts are made from distinct bit numbers, so none is larger
+    than its share of the map, whatever the number of keys."""
+    each = FILTER_BITS // FILTER_PARTS
+    bits = keys.select(F.explode(F.array(*_positions(F.col("key")))).alias("bit")).distinct()
+
+    def pack(group: pa.Table) -> pa.Table:
+        bit = np.asarray(group.column("bit").combine_chunks())
+        held = np.zeros(each, np.uint8)
+        held[bit % each] = 1
+        return pa.table({"part": pa.array([int(bit[0] // each)], pa.int32()), "map": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros((FILTER_PARTS, each // 8), np.uint8)
+    parts = bits.withColumn("part", F.floor(F.col("bit") / F.lit(each)).cast("int")).groupBy("part").applyInArrow(pack, "part int, map binary")
+    for r in parts.collect():  # FILTER_PARTS rows, FILTER_BITS bits
+        out[r["part"]] = np.frombuffer(r["map"], np.uint8)
+    return out.reshape(-1)
+
+
+def may_hold(held, key: Column) -> Column:
+    """Whether the (broadcast) filter may have the key."""
+
+    @F.arrow_udf("boolean")
+    def look(a: pa.Array, b: pa.Array) -> pa.Array:
+        found = np.ones(len(a), bool)
+        for bits in (np.asarray(a), np.asarray(b)):
+            found &= (held.value[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
+        return pa.array(found)
+
+    return look(*_positions(key))
+
+
 def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``text_key`` (hash of the text), ``n_shingles`` and
     ``component_id``: the smallest doc_id that is reachable by links
@@ -377,8 +418,12 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     wanted = maps.mapInArrow(sift, f"first bigint, second bigint, side int, node bigint, id {kind}, id_key bigint")
     wanted = scratch.write(wanted, "wanted")
 
-    # The text of one document of each of these nodes goes there.
-    rows = docs.select("doc_id", text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
+    scratch.drop("shared", "anchors", "blocks")
+
+    # The text of one document of each of these nodes goes there; the filter
+    # keeps all others from being shuffled, however many are wanted.
+    held = spark.sparkContext.broadcast(key_filter(wanted.select(F.col("id_key").alias("key"))))  # FILTER_BITS bits
+    rows = docs.select("doc_id", text_key(F.col(text)).alias("key"), F.col(text).alias("text")).where(may_hold(held, F.col("key")))
     same = rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["key"] == wanted["id_key"])
     met = rows.join(wanted, same).select("first", "second", "side", "node", "text")
 
@@ -393,7 +438,8 @@ def similar_documents(docs: DataFrame, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     met = met.repartition(parts, "first", "second").sortWithinPartitions("first", "second")
-    links = met.mapInArrow(link, "a bigint, b bigint")
+    links = scratch.write(met.mapInArrow(link, "a bigint, b bigint"), "links")
+    scratch.drop("wanted")
     roots = connected_components(links, scratch)
 
     known = sets.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))

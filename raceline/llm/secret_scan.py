@@ -4,11 +4,16 @@ Three base patterns find what looks like a secret by itself. On top of them
 the text is lexed for assignments as source code and configuration files
 write them (``name = "literal"``, ``name: literal``, ``"name": "literal"``,
 ``name := ...``, concatenations with ``+``). Constants are propagated: a name
-on the right stands for the literals it was assigned before, so a harmless
-constant that ends in a ``password`` is found where it was written. A literal
-is scored by how sensitive its target name is and by how much it looks like a
-generated value; spans of kind ``literal`` are those that reach the threshold
+on the right stands for what it was assigned before, so a harmless constant
+that ends in a ``password`` is found where it was written. A literal is scored
+by how sensitive its target name is and by how much it looks like a generated
+value or a pass-phrase; a secret that is written in pieces is scored as the
+joined value, too. Spans of kind ``literal`` are those that reach the threshold
 and don't lie inside a base span.
+
+Right sides refer to earlier ones, they don't copy them: the weights of the
+names go back along the references once, last assignment first, and every
+literal is scored once. The scan is linear in the text.
 """
 
 from __future__ import annotations
@@ -16,8 +21,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,6 +73,7 @@ ATOM = re.compile(
     r"""(?a)(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*+)(?P=quote)|(?P<name>[A-Za-z_][A-Za-z0-9_.]*+)(?![A-Za-z0-9+/_=\-])|(?P<bare>[A-Za-z0-9+/_.=\-]+)"""
 )
 PLUS = re.compile(r"[ \t]*+\+[ \t]*+")
+PHRASE = re.compile(r"[A-Za-z0-9]+(?:[ -][A-Za-z0-9]+){3,11}")
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -85,32 +94,93 @@ def literal_weight(value: str) -> float:
     return min(1.0, n / 16) * 0.3 + min(1.0, entropy / 3.5) * 0.4 + min(1.0, classes / 2) * 0.3
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
-    """Name-literal pairs in order: the target name and the literals (value,
-    start, end) of its right side, names replaced by the literals that they
-    were assigned before."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
+def phrase_weight(value: str, name: str) -> float:
+    """A pass-phrase: four to twelve words of letters and digits under a name
+    that says so, or under another pass name with a number among them."""
+    if len(value) > 200 or not PHRASE.fullmatch(value):
+        return 0.0
+    words = {w.lower() for w in NAME_WORD.findall(name)}
+    return 0.8 if words & {"passphrase", "phrase"} or (words & {"password", "passwd", "pwd", "secret"} and re.search("[0-9]", value)) else 0.0
+
+
+@dataclass
+class RightSide:
+    """A target name, and its literals (value, start, end) and references to
+    earlier right sides, in order. ``short``: the joined value, if it is at
+    most JOINED characters long."""
+
+    name: str
+    parts: list[tuple[str, int, int] | RightSide] = field(default_factory=list)
+    short: str | None = ""
+
+    def literals(self) -> Iterator[tuple[str, int, int]]:
+        """All literals, those of references included."""
+        for p in self.parts:
+            if isinstance(p, RightSide):
+                yield from p.literals()
+            else:
+                yield p
+
+
+#: Right sides up to so many characters are scored as one value and can be part
+#: of another's joined value; a longer literal is scored by itself.
+JOINED = 64
+
+
+def assignments(text: str) -> Iterator[RightSide]:
+    """The right sides of all assignments in order."""
+    known: dict[str, RightSide] = {}
     at = 0
     while m := TARGET.search(text, at):
-        at, parts = m.end(), []
+        at, side = m.end(), RightSide(m[1])
         while a := ATOM.match(text, at):
-            if a["quote"]:
-                parts.append((a["text"], a.start("text"), a.end("text")))
-            elif a["bare"]:
-                parts.append((a["bare"], a.start("bare"), a.end("bare")))
-            elif (ref := a["name"].rsplit(".", 1)[-1]) in known:
-                parts.extend(known[ref])
-            else:
-                parts.append((a["name"], a.start("name"), a.end("name")))
+            ref = known.get(a["name"].rsplit(".", 1)[-1]) if a["name"] else None
+            kind = a.lastgroup if not a["quote"] else "text"
+            part = ref or (a[kind], a.start(kind), a.end(kind))
+            side.parts.append(part)
+            if side.short is not None:
+                value = ref.short if ref else part[0]
+                side.short = side.short + value if value is not None and len(side.short) + len(value) <= JOINED else None
             at = a.end()
             plus = PLUS.match(text, at)
-            if not plus or len(parts) >= 64:  # a right side, not a text of plus signs
+            if not plus:
                 break
             at = plus.end()
-        if parts:
-            name = m[1]
-            known[name.rsplit(".", 1)[-1]] = parts
-            yield name, parts
+        if side.parts:
+            known[m[1].rsplit(".", 1)[-1]] = side
+            yield side
+
+
+def sensitive(text: str, threshold: float) -> tuple[set[tuple[int, int]], float]:
+    """Spans of the literals that reach the threshold, and the top score."""
+    sides = list(assignments(text))
+    weight = {id(s): (name_weight(s.name), s.name) for s in sides}
+    whole: set[int] = set()  # right sides that are part of a secret as they are
+    found: set[tuple[int, int]] = set()
+    top = 0.0
+    for s in reversed(sides):  # references go back, so a side has all its weight when its turn comes
+        w, name = weight[id(s)]
+        if w and len(s.parts) > 1:
+            score = w * (literal_weight(s.short) if s.short is not None else 0.0)
+            pieces = [p[0] for p in s.parts if not isinstance(p, RightSide)]
+            if s.short is None and all(len(p) <= JOINED for p in pieces):  # many pieces, as one value
+                score = w * literal_weight("".join(pieces))
+            top = max(top, score)
+            if score >= threshold:
+                whole.add(id(s))
+        for p in s.parts:
+            if isinstance(p, RightSide):
+                if w > weight[id(p)][0]:
+                    weight[id(p)] = (w, name)
+                if id(s) in whole and p.short is not None:
+                    whole.add(id(p))
+                continue
+            value, start, end = p
+            score = w * max(literal_weight(value), phrase_weight(value, name)) if w else 0.0
+            top = max(top, score)
+            if score >= threshold or (id(s) in whole and end > start):
+                found.add((start, end))
+    return found, top
 
 
 def scan(text: str, threshold: float = 0.6) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], float]:
@@ -123,17 +193,18 @@ def scan(text: str, threshold: float = 0.6) -> tuple[list[tuple[str, int, int]],
         base += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     if _HEX_RUN in text.encode().translate(_HEX_CLASS):
         base += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    found, top = {}, 0.0
-    if lexed:
-        for name, literals in assignments(text):
-            weight = name_weight(name)
-            for value, start, end in literals if weight else ():
-                score = weight * literal_weight(value)
-                top = max(top, score)
-                if score >= threshold and not any(s <= start and end <= e for _, s, e in base):
-                    found[start, end] = ("literal", start, end)
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
-    return sorted(base, key=order), sorted([*base, *found.values()], key=order), top
+    base.sort(key=order)
+    found, top = sensitive(text, threshold) if lexed else (set(), 0.0)
+    starts = [s for _, s, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))  # furthest end of the spans that start so early
+
+    def inside(start: int, end: int) -> bool:
+        i = bisect_right(starts, start)
+        return i > 0 and reach[i - 1] >= end
+
+    more = [("literal", s, e) for s, e in found if not inside(s, e)]
+    return base, sorted([*base, *more], key=order), top
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:

@@ -37,7 +37,7 @@ def test_base_spans_equal_brute_force():
 
 def test_pairs_and_constants():
     text = 'SEED = "q8Zt71LmPx04"\nlimit = 5\nDB_PASSPHRASE = SEED\nurl = "plain words here"\nauth: changeme\nconst pwd := "Ab9" + "xY7kQ2"\n'
-    pairs = {n: [v for v, _, _ in parts] for n, parts in secret_scan.assignments(text)}
+    pairs = {s.name: [v for v, _, _ in s.literals()] for s in secret_scan.assignments(text)}
     assert pairs["DB_PASSPHRASE"] == ["q8Zt71LmPx04"]
     assert pairs["pwd"] == ["Ab9", "xY7kQ2"]
     _, spans, _ = secret_scan.scan(text)
@@ -54,6 +54,37 @@ def test_scan_of_hostile_texts_is_linear():
         secret_scan.scan(text)
 
 
+def literals(text):
+    return [text[s:e] for k, s, e in secret_scan.scan(text)[1] if k == "literal"]
+
+
+def test_every_part_counts():
+    parts = [f"q{i:02}Zt7{i:02}LmP" for i in range(100)]
+    assert literals("db_passphrase = " + " + ".join(f'"{p}"' for p in parts)) == parts
+    short = ["Ab1", "xY7", "k!2", "Qz9"]
+    assert literals("const credentials = " + " + ".join(f"'{p}'" for p in short)) == short
+    assert literals("a = 'Ab1'\nb = a + 'xY7'\nc = 'k!2' + b + 'Qz9'\nmy_pwd = c\n") == ["Ab1", "xY7", "k!2", "Qz9"]
+    assert literals("part = 'Ab1'\ntitle = part + ' of the house'\n") == []
+
+
+def test_pass_phrases():
+    assert literals('passphrase: "correct horse battery staple 93"') == ["correct horse battery staple 93"]
+    assert literals('vault_pwd = "seven ships 41 sail north"') == ["seven ships 41 sail north"]
+    assert literals('password: "please enter the new one twice"') == []
+
+
+def test_long_chains_are_linear():
+    import time
+
+    chain = "salt = 'q8Zt71LmPx04' + salt\n"
+    tokens = "token = \"q8Zt71LmPx04\"\n"
+    for line in (chain, tokens, "k = k + k\n", "a.secret = b + 'x'\nb = a.secret\n"):
+        text = line * (1_000_000 // len(line))
+        start = time.process_time()
+        secret_scan.scan(text)
+        assert time.process_time() - start < 4, line
+
+
 def test_mask():
     assert secret_scan.mask("ab token=abcdef cd", "assign:3:15,literal:9:15") == "ab [secret] cd"
 
