@@ -9,6 +9,7 @@ from raceline.functions.columns import epoch_seconds_between, exact_sum, strip_l
 from raceline.operators.interval_join import interval_join, range_aggregate
 from raceline.operators.ordered import blocked_row_numbers
 from raceline.plans import staging as stg
+from raceline.plans.graph import model
 from raceline.plans.staging import Raw
 
 PAIR = ["session_key", "driver_number"]
@@ -29,10 +30,12 @@ TRACK_COLD_BELOW, TRACK_MEDIUM_BELOW = 25, 35
 HUMID_ABOVE = 70
 
 
+@model
 def int_best_laps(raw: Raw) -> DataFrame:
     return stg.stg_laps(raw).groupBy(*PAIR).agg(F.min("lap_duration").alias("fastest_lap"))
 
 
+@model
 def int_car_base(raw: Raw) -> DataFrame:
     """Telemetry enriched with the driver row of its session. The driver
     dimension is small per session; AQE turns the join into a broadcast join
@@ -45,6 +48,7 @@ def int_car_base(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def int_final_intervals(raw: Raw) -> DataFrame:
     """Largest numeric gaps per driver and session (cast before MAX)."""
     return stg.stg_intervals(raw).groupBy(*PAIR).agg(
@@ -53,6 +57,7 @@ def int_final_intervals(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def int_final_position(raw: Raw) -> DataFrame:
     """Last recorded position per driver and session. NULL dates sort first
     in a descending order (warehouse rule); ties go to the smaller position.
@@ -67,6 +72,7 @@ def int_final_position(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def lap_position_samples(raw: Raw) -> DataFrame:
     """Position samples inside each lap (inclusive bounds) with the absolute
     distance in seconds to both lap ends."""
@@ -78,6 +84,7 @@ def lap_position_samples(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def int_lap_position(raw: Raw, materialize: bool = False) -> DataFrame:
     """Position samples inside each lap with the nearest-sample ranks to the
     lap start and end (ties: smaller position, then earlier sample).
@@ -100,10 +107,12 @@ def int_lap_position(raw: Raw, materialize: bool = False) -> DataFrame:
     )
 
 
+@model
 def int_pit_stop(raw: Raw) -> DataFrame:
     return stg.stg_pit(raw).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("pit_stop_count"))
 
 
+@model
 def int_tyre_stint(raw: Raw) -> DataFrame:
     """Race stints with team and circuit. The WHERE on the session side makes
     the session join an inner join (Catalyst rewrites it so)."""
@@ -122,6 +131,7 @@ def int_tyre_stint(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def int_tyre_stint_laps(raw: Raw) -> DataFrame:
     """Stint time window: first and last lap start inside the lap range.
     Stints without a timed lap are dropped (so the left join is an inner
@@ -138,6 +148,7 @@ def int_tyre_stint_laps(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def int_tyre_stints_weather(raw: Raw) -> DataFrame:
     """Mean weather inside each stint window; no sample -> NULL means, which
     classify as 'Hot' and 'Dry'.

@@ -10,6 +10,7 @@ from raceline.operators.interval_join import interval_left_aggregate
 from raceline.operators.ordered import blocked_running_max, join_null_safe
 from raceline.plans import intermediate as it
 from raceline.plans import staging as stg
+from raceline.plans.graph import model
 from raceline.plans.staging import Raw
 
 PAIR = it.PAIR
@@ -38,6 +39,7 @@ def _driver_display_name() -> F.Column:
     )
 
 
+@model
 def final_car(raw: Raw) -> DataFrame:
     """Telemetry with a driver label and the meeting of its session."""
     sessions = stg.stg_sessions(raw).select("session_key", F.col("meeting_key").alias("s_meeting_key"))
@@ -54,6 +56,7 @@ def final_car(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def final_session_mapping(raw: Raw) -> DataFrame:
     """``year || ' - ' || country || ' - ' || name`` (NULL if any part is)."""
     s = stg.stg_sessions(raw)
@@ -64,6 +67,7 @@ def final_session_mapping(raw: Raw) -> DataFrame:
     return s.select(label.alias("session_display_name"), "session_key").distinct()
 
 
+@model
 def final_race_leaderboard(raw: Raw) -> DataFrame:
     """Final classification per session with gaps, best lap, pit stops and
     points (points are awarded in every session type)."""
@@ -88,6 +92,7 @@ def final_race_leaderboard(raw: Raw) -> DataFrame:
     ).orderBy(F.col("position").asc_nulls_last())
 
 
+@model
 def final_race_summary(raw: Raw) -> DataFrame:
     """Per session: drivers, laps, teams, pit stops, top speed and the mean of
     the per-driver mean speeds (unweighted)."""
@@ -114,6 +119,7 @@ def final_race_summary(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def final_session_driver_mapping(raw: Raw) -> DataFrame:
     sessions = stg.stg_sessions(raw).select("session_key")
     return (
@@ -124,6 +130,7 @@ def final_session_driver_mapping(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def final_session_filters(raw: Raw) -> DataFrame:
     """Per session: display name, sorted distinct driver labels and the
     meeting matched on (year, country_name) (a country with two meetings in a
@@ -163,6 +170,7 @@ def final_session_filters(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def final_tyre_performance(raw: Raw) -> DataFrame:
     """Two-level aggregate: per driver on circuit/compound/team, then per
     circuit/compound (averages of averages, unweighted)."""
@@ -180,6 +188,7 @@ def final_tyre_performance(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def final_historical_analysis(raw: Raw, numeric_gaps: bool = False) -> DataFrame:
     """One row per lap: first recorded position, gap range during the lap and
     start/end positions (lap 1 = first recorded position; otherwise the lap's

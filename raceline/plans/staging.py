@@ -13,14 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raceline.functions.columns import add_seconds, clean_gap
+from raceline.plans.graph import model
 
 Raw = Mapping[str, DataFrame]
 
 
+@model
 def stg_car_data(raw: Raw) -> DataFrame:
     return raw["car_data"].select("session_key", "driver_number", "date", "rpm", "speed", "throttle", "brake")
 
 
+@model
 def stg_drivers(raw: Raw) -> DataFrame:
     return raw["drivers"].select(
         F.col("driver_number").cast("int").alias("driver_number"),
@@ -29,6 +32,7 @@ def stg_drivers(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def stg_intervals(raw: Raw) -> DataFrame:
     return raw["intervals"].select(
         "session_key", "driver_number", "date",
@@ -37,6 +41,7 @@ def stg_intervals(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def stg_laps(raw: Raw) -> DataFrame:
     """date_start is cut to the second; date_end adds the lap duration to the
     *uncut* start (both computed from the raw column in one projection)."""
@@ -50,6 +55,7 @@ def stg_laps(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def stg_meeting(raw: Raw) -> DataFrame:
     return raw["meetings"].select(
         "meeting_key", "meeting_name", "meeting_official_name", "country_name",
@@ -57,14 +63,17 @@ def stg_meeting(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def stg_pit(raw: Raw) -> DataFrame:
     return raw["pit"].filter(F.col("pit_duration").isNotNull())
 
 
+@model
 def stg_position(raw: Raw) -> DataFrame:
     return raw["position"].select("session_key", "driver_number", "position", "date")
 
 
+@model
 def stg_sessions(raw: Raw) -> DataFrame:
     """No session-type filter: every session reaches the marts."""
     return raw["sessions"].select(
@@ -73,12 +82,14 @@ def stg_sessions(raw: Raw) -> DataFrame:
     )
 
 
+@model
 def stg_stints(raw: Raw) -> DataFrame:
     return raw["stints"].filter(
         F.col("compound").isNotNull() & F.col("lap_start").isNotNull() & F.col("lap_end").isNotNull()
     )
 
 
+@model
 def stg_weather(raw: Raw) -> DataFrame:
     return raw["weather"].select("*")
 

@@ -84,15 +84,20 @@ def publish_load(df: DataFrame, path: str, load_id: str, partition_by: Sequence[
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{LOAD_ID}={load_id}")
     rows = seen.get["rows"]
+    publish_line(df.sparkSession, path, load_id, rows, partition_by, replaces)
+    return rows
+
+
+def publish_line(spark: SparkSession, path: str, load_id: str, rows: int, layout: Sequence[str] = (), replaces: Sequence[str] = ()) -> None:
+    """Name a load that is written as a whole."""
 
     def names(values: Sequence[str]) -> Column:
         return F.array(*map(F.lit, values)).cast("array<string>")
 
-    line = df.sparkSession.range(1).select(
-        F.lit(load_id).alias(LOAD_ID), F.lit(rows).cast("long").alias("rows"), names(partition_by).alias("layout"), names(replaces).alias("replaces")
+    line = spark.range(1).select(
+        F.lit(load_id).alias(LOAD_ID), F.lit(rows).cast("long").alias("rows"), names(layout).alias("layout"), names(replaces).alias("replaces")
     )
     line.coalesce(1).write.mode("append").json(f"{path}.published")
-    return rows
 
 
 def read_published(spark: SparkSession, path: str, schema) -> DataFrame:
