@@ -18,14 +18,23 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.
+
+    Null and empty texts are scored like any others. Repeated rows and ties
+    are decided alike, as a score depends on the text only; an empty table
+    gives no rows, further columns are left out."""
     scored = quality.quality_rows(docs, read(spark, sf_dir, "labels"))
     return scored.where("predicted = 1").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go from the texts; a document of
-    which only blank lines are left goes."""
+    which only blank lines are left goes.
+
+    Null, empty and blank texts stay as they are. Rows that agree in doc_id
+    and text are one document and are cut alike; of equal texts under several
+    ids the smallest id (null last) is whole. Texts of any length are cut as a
+    whole; an empty table gives no rows."""
     cut = line_dedup.remove_repeats(docs)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(line_dedup.WORD)
     cut = cut.where(~F.coalesce(emptied, F.lit(False)))
@@ -48,12 +57,20 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them."""
+    """Documents as often as the mix of the sources takes them.
+
+    Null and empty texts have no words and are not taken. A null source is a
+    source of its own, the last in order. Rows that agree in doc_id, source
+    and size are taken equally often; an empty table gives no rows."""
     return mixing.mixed_rows(mixing.mix(docs)).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces, as ``op7`` returns them."""
+    """The packed pieces, as ``op7`` returns them.
+
+    Null and empty texts are a piece of the id 0 alone; a text of more than
+    2048 tokens gives several pieces. Repeated rows are packed each; an empty
+    table gives no rows."""
     return packing.pack(docs)
 
 
