@@ -100,6 +100,7 @@ def test_nearest_of_odd_rows(spark):
 
 def test_nearest_recall(spark, monkeypatch):
     monkeypatch.setattr(neighbour_graph, "BLOCK", 300)
+    monkeypatch.setattr(neighbour_graph, "HOME", 200)
     monkeypatch.setattr(neighbour_graph, "LEAF", 60)
     rows = clustered(2, n=1500)
     got = neighbour_graph.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0).collect()
