@@ -56,7 +56,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fit_bytes``: bytes of the longest whole-chunk prefix within the limit."""
+    """``fit_bytes``: bytes of the longest prefix within the limit."""
     counts = token_counts.token_counts(read(spark, sf_dir, "documents"), (2048,))
     return counts.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), F.col("fit_bytes")[0].alias("fit_bytes")

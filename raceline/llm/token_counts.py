@@ -5,11 +5,14 @@ count of a text obeys
 
     count(prefix up to the end of chunk i) = count(prefix up to chunk i-1) + tokens(chunk i)
 
-where a chunk is a maximal run without ASCII white space. The recurrence is
-filled once per text; the two arrays (chunk ends in UTF-8 bytes, counts up to
-there) then answer every question about a prefix: a truncation point for a
-budget is a binary search, and a prefix that ends inside a chunk costs the
-encoding of that one cut chunk, never of the text.
+where a chunk is a maximal run without ASCII white space. Inside a word of a
+chunk the programme goes on character by character: the tokens of a prefix are
+those of a shorter prefix and one last token, and of all vocabulary entries
+that end there exactly one may follow the last token of the shorter prefix
+(the two, put together, are split into the same two again). So every prefix
+costs a few look-ups, in words of any length, and the counts of all prefixes
+answer questions about truncation and budgets without encoding again. A cut
+word is closed like a whole one, so a longer prefix may have fewer tokens.
 
 The tokens of a chunk come from the tokenizers library itself and are kept in
 a bounded table per worker, as words repeat. Special strings hold no white
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 WORD_BPE = "word_bpe_49k.json"
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
-
+_WHITE_BYTES = [b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b" "]
+_CHUNK = re.compile("[^\\x20\\x09-\\x0D]+")
 
 # Splitter and byte alphabet of the vocabulary (fixed values of its format).
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -115,7 +119,129 @@ class ChunkEncoder(dict):
         return ends, counts
 
 
+class PrefixCounter:
+    """Exact token counts of every prefix of a text, at each code point. The
+    last count of each chunk is held against the library's; a chunk for which
+    the programme doesn't apply (characters that its normalizer joins) is
+    encoded prefix by prefix. Tables are emptied at ``max_entries``."""
+
+    def __init__(self, enc: ChunkEncoder, max_entries: int = 100_000):
+        model = json.loads(enc.tokenizer.to_str())["model"]
+        close = model["end_of_word_suffix"]
+        self.enc, self.max_entries = enc, max_entries
+        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): rank for rank, m in enumerate(model["merges"])}
+        self.close = close
+        self.closing = {t.removesuffix(close) for t in model["vocab"] if t.endswith(close)}
+        self.open = {t for t in model["vocab"] if not t.endswith(close)}
+        self.longest = max(map(len, self.closing | self.open))
+        self.follows: dict[tuple[str, str, bool], bool] = {}
+        self.chars: dict[str, str] = {}
+        self.known: dict[str, np.ndarray] = {}
+        self.special = re.compile("|".join(map(re.escape, enc.special)) or r"(?!)")
+
+    def _may_follow(self, last: str, token: str, closed: bool) -> bool:
+        """Whether ``last`` and ``token`` next to each other stay these two tokens."""
+        key = (last, token, closed)
+        if key not in self.follows:
+            parts = [*last, *token]
+            want = [last, token] if last else [token]
+            if closed:
+                parts[-1] += self.close
+                want[-1] += self.close
+            while len(parts) > 1:
+                rank, i = min((self.ranks.get(pair, len(self.ranks)), i) for i, pair in enumerate(zip(parts, parts[1:])))
+                if rank == len(self.ranks):
+                    break
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            if len(self.follows) >= 4 * self.max_entries:
+                self.follows.clear()
+            self.follows[key] = parts == want
+        return self.follows[key]
+
+    def _word(self, word: str) -> list[int]:
+        """Tokens of the first 0, 1, 2, ... symbols of a word, each closed."""
+        last, before, counts = [""], [0], [0]
+        for end in range(1, len(word) + 1):
+            begins = range(max(0, end - self.longest), end)
+            ending = [(b, word[b:end]) for b in begins]
+            counts.append(next((before[b] + 1 for b, t in ending if t in self.closing and self._may_follow(last[b], t, True)), 0))
+            b, token = next((b, t) for b, t in ending if t in self.open and self._may_follow(last[b], t, False))
+            last.append(token)
+            before.append(before[b] + 1)
+        return counts
+
+    def _char(self, c: str) -> str:
+        if c not in self.chars:
+            if len(self.chars) >= self.max_entries:
+                self.chars.clear()
+            self.chars[c] = self.enc.tokenizer.normalizer.normalize_str(c)
+        return self.chars[c]
+
+    def _plain(self, text: str) -> np.ndarray:
+        """Counts of the prefixes of a text without special strings."""
+        chars = [self._char(c) for c in text]
+        normal = "".join(chars)
+        total = len(self.enc.tokenizer.encode(text, add_special_tokens=False).ids)
+        if normal == self.enc.tokenizer.normalizer.normalize_str(text):
+            at = np.zeros(len(normal) + 1, np.int64)
+            done = end = 0
+            for word, (start, stop) in self.enc.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
+                at[end : start + 1] = done
+                counts = self._word(word)
+                places = np.cumsum([len(c.encode()) for c in normal[start:stop]])
+                at[start + 1 : stop + 1] = done + np.take(counts, places)
+                if word in ("'re", "'ve", "'ll"):  # cut, it is a quote and a letter
+                    at[start + 2] = done + 2
+                done, end = done + counts[-1], stop
+            at[end:] = done
+            if done == total:
+                return at[np.append(0, np.cumsum([len(c) for c in chars])).astype(np.int64)]
+        return np.array([len(self.enc.tokenizer.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)])
+
+    def chunk(self, text: str) -> np.ndarray:
+        """Counts of the first 0, 1, 2, ... code points of a chunk."""
+        if text in self.known:
+            return self.known[text]
+        out = np.zeros(len(text) + 1, np.int64)
+        at = done = 0
+        for m in self.special.finditer(text):
+            # A cut special string is text like any other.
+            cut = self._plain(text[at : m.end() - 1])
+            out[at : m.end()] = done + cut
+            done += int(cut[m.start() - at]) + 1
+            at = m.end()
+        out[at:] = done + self._plain(text[at:])
+        if len(text) <= self.enc.longest:
+            if len(self.known) >= self.max_entries:
+                self.known.clear()
+            self.known[text] = out
+        return out
+
+    def text(self, text: str) -> np.ndarray:
+        """Counts of the first 0, 1, 2, ... code points of a text."""
+        out = np.zeros(len(text) + 1, np.int64)
+        at = done = 0
+        for m in _CHUNK.finditer(text):
+            out[at : m.start()] = done
+            out[m.start() : m.end() + 1] = done + self.chunk(m.group())
+            at, done = m.end(), int(out[m.end()])
+        out[at:] = done
+        return out
+
+    def fitting_bytes(self, data: bytes, ends: np.ndarray, counts: np.ndarray, limit: int) -> int:
+        """Bytes of the longest prefix of a text with at most ``limit`` tokens,
+        from the counts at its chunks' ends and those inside one chunk."""
+        i = int(np.searchsorted(counts, limit, "right"))
+        if i == len(counts):
+            return len(data)
+        start = max(data.rfind(b, 0, int(ends[i])) for b in _WHITE_BYTES) + 1
+        chunk = data[start : int(ends[i])].decode()
+        inside = self.chunk(chunk) + (int(counts[i - 1]) if i else 0)
+        return start + len(chunk[: int(np.flatnonzero(inside <= limit)[-1])].encode())
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
+_COUNTERS: dict[str, PrefixCounter] = {}
 
 
 def encoder(tokenizer: str) -> ChunkEncoder:
@@ -125,50 +251,60 @@ def encoder(tokenizer: str) -> ChunkEncoder:
     return _ENCODERS[tokenizer]
 
 
-def count_at(text: str, n_bytes: int, ends: np.ndarray, counts: np.ndarray, tokenizer: str = WORD_BPE) -> int:
-    """Exact token count of the first ``n_bytes`` bytes (cut at a character)
-    of a text with stored prefix arrays."""
-    i = int(np.searchsorted(ends, n_bytes, "right"))
-    done, before = (int(ends[i - 1]), int(counts[i - 1])) if i else (0, 0)
-    rest = text.encode()[done:n_bytes].split()
-    return before + sum(len(encoder(tokenizer)[c]) // 4 for c in rest)
+def counter(tokenizer: str) -> PrefixCounter:
+    """The worker's prefix counter of a vocabulary."""
+    if tokenizer not in _COUNTERS:
+        _COUNTERS[tokenizer] = PrefixCounter(encoder(tokenizer))
+    return _COUNTERS[tokenizer]
+
+
+def count_at(prefix_counts: bytes, n_chars: int) -> int:
+    """Exact token count of the first ``n_chars`` code points, from a stored table."""
+    return int(np.frombuffer(prefix_counts, "<i4")[n_chars])
+
+
+def longest_within(prefix_counts: bytes, limit: int) -> int:
+    """Code points of the longest prefix with at most ``limit`` tokens, from a
+    stored table."""
+    return int(np.flatnonzero(np.frombuffer(prefix_counts, "<i4") <= limit)[-1])
 
 
 def prefix_table(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer: str = WORD_BPE) -> DataFrame:
-    """``key``, ``prefix_ends`` and ``prefix_counts`` (little-endian int32
-    arrays as binary): the stored dynamic programme of each text.
+    """``key`` and ``prefix_counts`` (little-endian int32 array as binary): the
+    stored dynamic programme of each text, the token counts of its first 0, 1,
+    2, ... code points.
 
-    Null and empty texts have empty arrays; repeated rows give repeated rows;
+    Null and empty texts have the one count 0; texts of any length are counted
+    whole; repeated rows give repeated rows; an empty table gives no rows;
     other columns are not read."""
     table = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        count = counter(tokenizer)
         for b in batches:
-            both = [enc.prefix_counts(t.as_py().encode()) for t in b.column(1)]
-            arrays = [pa.array([x[i].astype("<i4").tobytes() for x in both], pa.binary()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=["key", "ends", "counts"])
+            counts = pa.array([count.text(t.as_py()).astype("<i4").tobytes() for t in b.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), counts], names=["key", "counts"])
 
     kind = table.schema["key"].dataType.simpleString()
-    out = table.mapInArrow(fill, f"key {kind}, ends binary, counts binary")
-    return out.select(F.col("key").alias(key), F.col("ends").alias("prefix_ends"), F.col("counts").alias("prefix_counts"))
+    out = table.mapInArrow(fill, f"key {kind}, counts binary")
+    return out.select(F.col("key").alias(key), F.col("counts").alias("prefix_counts"))
 
 
 def token_counts(
     docs: DataFrame, budgets: Sequence[int] = (2048,), text: str = "text", key: str = "doc_id", tokenizer: str = WORD_BPE
 ) -> DataFrame:
     """``key``, ``n_bytes``, ``n_tokens`` and ``fit_bytes`` (for each budget,
-    the bytes of the longest whole-chunk prefix with at most that many
-    tokens), read off the prefix arrays of each text.
+    the bytes of the longest prefix, cut at any code point, with at most
+    that many tokens), read off the prefix counts of each text.
 
-    Null texts count as empty: 0 bytes, 0 tokens, nothing fits. Very long
-    texts are encoded whole. Repeated rows give repeated rows; an empty table
+    Null texts count as empty: 0 bytes, 0 tokens. Very long texts, with or
+    without white space, are counted whole. Repeated rows give repeated rows; an empty table
     gives no rows; other columns are not read."""
     table = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    limits = np.asarray(list(budgets), np.int64)
+    limits = [int(b) for b in budgets]
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc, count = encoder(tokenizer), counter(tokenizer)
         for b in batches:
             n_bytes, n_tokens, fits = [], [], []
             for t in b.column(1):
@@ -176,7 +312,7 @@ def token_counts(
                 ends, counts = enc.prefix_counts(data)
                 n_bytes.append(len(data))
                 n_tokens.append(int(counts[-1]) if len(counts) else 0)
-                fits.append([int(ends[i - 1]) if i else 0 for i in np.searchsorted(counts, limits, "right")])
+                fits.append([count.fitting_bytes(data, ends, counts, limit) for limit in limits])
             arrays = [pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(fits, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=["key", "n_bytes", "n_tokens", "fit_bytes"])
 

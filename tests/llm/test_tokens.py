@@ -30,13 +30,33 @@ def test_encoder_equals_the_library(library):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == ids, text
 
 
+def library_counts(library, text):
+    return [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)]
+
+
 def test_prefix_counts_are_exact_at_every_prefix(library):
-    text = "Some words, in Été; don't <|endoftext|> stop 123\n\n end  "
-    enc = token_counts.encoder("word_bpe_49k.json")
-    ends, counts = enc.prefix_counts(text.encode())
-    for n in range(len(text) + 1):
-        size = len(text[:n].encode())
-        assert token_counts.count_at(text, size, ends, counts) == len(library.encode(text[:n], add_special_tokens=False).ids)
+    count = token_counts.counter("word_bpe_49k.json")
+    random.seed(4)
+    texts = ["", "Some words, in Été; don't <|endoftext|> stop 123\n\n end  ", "they're we've I'll 'r", "日本語のテキストは空白なし、" * 8, "a\u0301e\u0323\u0302x", "aaaa" * 40]
+    texts += ["".join(random.choice([*PARTS, " ", "\n"]) for _ in range(random.randint(0, 25))) for _ in range(300)]
+    texts += ["".join(random.choice("etaoinshrdlu") for _ in range(150)) for _ in range(10)]
+    texts += ["".join(random.choice("ABCDefghIJKL0123456789+/") for _ in range(150)) for _ in range(5)]
+    for text in texts:
+        assert count.text(text).tolist() == library_counts(library, text), text
+
+
+@pytest.mark.parametrize("unit", ["internationalisation", "日本語のテキスト", "QmFzZTY0+/9", "x"])
+def test_long_texts_without_white_space(library, unit):
+    text = (unit * 200_000)[:200_000]
+    count, enc = token_counts.counter("word_bpe_49k.json"), token_counts.encoder("word_bpe_49k.json")
+    counts = count.text(text)
+    assert counts[-1] == len(library.encode(text, add_special_tokens=False).ids)
+    for n in (1, 999, 5_000, 123_457):
+        assert counts[n] == len(library.encode(text[:n], add_special_tokens=False).ids)
+    ends, at_ends = enc.prefix_counts(text.encode())
+    fit = count.fitting_bytes(text.encode(), ends, at_ends, 2048)
+    n = len(text.encode()[:fit].decode())
+    assert counts[n] <= 2048 < counts[n + 1 :].min()
 
 
 def test_counts(spark, library, odd, odd_clashing, empty):
@@ -46,18 +66,23 @@ def test_counts(spark, library, odd, odd_clashing, empty):
     )
     assert token_counts.token_counts(odd_clashing).columns == got.columns
     assert token_counts.token_counts(empty).count() == 0
-    texts = {r["doc_id"]: r["text"] or "" for r in odd.collect()}
-    for r in got.collect():
-        fit = texts[r["doc_id"]].encode()[: r["fit_bytes"][0]].decode()
-        assert len(library.encode(fit, add_special_tokens=False).ids) <= 5
+    small = documents(spark, [(0, "  one two, three-four's fivesix seven"), (1, "日本語のテキスト"), (2, None), (3, "a b"), (4, "  <|endoftext|>don'tdon't  ")])
+    texts = {r["doc_id"]: r["text"] or "" for r in small.collect()}
+    for r in token_counts.token_counts(small, (0, 1, 5, 2048)).collect():
+        text = texts[r["doc_id"]]
+        counts = library_counts(library, text)
+        want = [len(text[: max(n for n, c in enumerate(counts) if c <= limit)].encode()) for limit in (0, 1, 5, 2048)]
+        assert r["fit_bytes"] == want
 
 
-def test_prefix_table_answers_without_the_text(spark, library):
+def test_prefix_table_answers_without_the_text(spark, library, empty):
     text = "first second third"
     row = token_counts.prefix_table(documents(spark, [(1, text), (2, None)])).orderBy("doc_id").collect()
-    assert np.frombuffer(row[0]["prefix_ends"], "<i4").tolist() == [5, 12, 18]
-    assert np.frombuffer(row[0]["prefix_counts"], "<i4")[-1] == len(library.encode(text, add_special_tokens=False).ids)
-    assert row[1]["prefix_ends"] == b""
+    counts = library_counts(library, text)
+    assert [token_counts.count_at(row[0]["prefix_counts"], n) for n in range(len(text) + 1)] == counts
+    assert token_counts.longest_within(row[0]["prefix_counts"], 1) == max(n for n, c in enumerate(counts) if c <= 1)
+    assert token_counts.count_at(row[1]["prefix_counts"], 0) == 0 and len(row[1]["prefix_counts"]) == 4
+    assert token_counts.prefix_table(empty).count() == 0
 
 
 def naive_best_fit(lengths, capacity):
