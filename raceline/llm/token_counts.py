@@ -27,6 +27,7 @@ import json
 import os
 import re
 import sys
+import unicodedata
 from array import array
 from collections.abc import Iterator, Sequence
 
@@ -119,11 +120,32 @@ class ChunkEncoder(dict):
         return ends, counts
 
 
+#: Stands where a text is not to be cut.
+NO_CUT = 2**31 - 1
+#: Code points up to which a chunk that is not in NFC is encoded prefix by prefix.
+WHOLE_PREFIXES = 256
+
+
+def _joined(text: str) -> list[str]:
+    """A text in parts that no normalizer joins: characters with the marks (and
+    Hangul vowels and finals) that follow them, runs of white space."""
+    parts: list[str] = []
+    for c in text:
+        mark = unicodedata.category(c)[0] == "M" or "\u1160" <= c <= "\u11ff"
+        if parts and (mark or (c.isspace() and parts[-1][-1].isspace())):
+            parts[-1] += c
+        else:
+            parts.append(c)
+    return parts
+
+
 class PrefixCounter:
     """Exact token counts of every prefix of a text, at each code point. The
-    last count of each chunk is held against the library's; a chunk for which
-    the programme doesn't apply (characters that its normalizer joins) is
-    encoded prefix by prefix. Tables are emptied at ``max_entries``."""
+    last count of each chunk is held against the library's. Where the
+    normalizer joins characters (text not in NFC), short chunks are encoded
+    prefix by prefix; in those of more than ``WHOLE_PREFIXES`` code points the
+    places between joined characters are no cuts and hold ``NO_CUT``. Tables are
+    emptied at ``max_entries``."""
 
     def __init__(self, enc: ChunkEncoder, max_entries: int = 100_000):
         model = json.loads(enc.tokenizer.to_str())["model"]
@@ -177,26 +199,43 @@ class PrefixCounter:
             self.chars[c] = self.enc.tokenizer.normalizer.normalize_str(c)
         return self.chars[c]
 
+    def _total(self, text: str) -> int:
+        return len(self.enc.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _programme(self, parts: list[str], text: str) -> np.ndarray | None:
+        """Counts at the ends of ``parts`` of a text, if they are normalized
+        each on its own and the last count is the library's."""
+        chars = [self._char(c) for c in parts]
+        normal = "".join(chars)
+        if normal != self.enc.tokenizer.normalizer.normalize_str(text):
+            return None
+        at = np.zeros(len(normal) + 1, np.int64)
+        done = end = 0
+        for word, (start, stop) in self.enc.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
+            at[end : start + 1] = done
+            counts = self._word(word)
+            places = np.cumsum([len(c.encode()) for c in normal[start:stop]])
+            at[start + 1 : stop + 1] = done + np.take(counts, places)
+            if word in ("'re", "'ve", "'ll"):  # cut, it is a quote and a letter
+                at[start + 2] = done + 2
+            done, end = done + counts[-1], stop
+        at[end:] = done
+        return at[np.append(0, np.cumsum([len(c) for c in chars])).astype(np.int64)] if done == self._total(text) else None
+
     def _plain(self, text: str) -> np.ndarray:
         """Counts of the prefixes of a text without special strings."""
-        chars = [self._char(c) for c in text]
-        normal = "".join(chars)
-        total = len(self.enc.tokenizer.encode(text, add_special_tokens=False).ids)
-        if normal == self.enc.tokenizer.normalizer.normalize_str(text):
-            at = np.zeros(len(normal) + 1, np.int64)
-            done = end = 0
-            for word, (start, stop) in self.enc.tokenizer.pre_tokenizer.pre_tokenize_str(normal):
-                at[end : start + 1] = done
-                counts = self._word(word)
-                places = np.cumsum([len(c.encode()) for c in normal[start:stop]])
-                at[start + 1 : stop + 1] = done + np.take(counts, places)
-                if word in ("'re", "'ve", "'ll"):  # cut, it is a quote and a letter
-                    at[start + 2] = done + 2
-                done, end = done + counts[-1], stop
-            at[end:] = done
-            if done == total:
-                return at[np.append(0, np.cumsum([len(c) for c in chars])).astype(np.int64)]
-        return np.array([len(self.enc.tokenizer.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)])
+        counts = self._programme(list(text), text)
+        if counts is not None:
+            return counts
+        if len(text) <= WHOLE_PREFIXES:
+            return np.array([self._total(text[:n]) for n in range(len(text) + 1)])
+        parts = _joined(text)
+        counts = self._programme(parts, text)
+        out = np.full(len(text) + 1, NO_CUT)
+        out[0], out[-1] = 0, self._total(text)
+        if counts is not None:
+            out[np.append(0, np.cumsum([len(p) for p in parts]))] = counts
+        return out
 
     def chunk(self, text: str) -> np.ndarray:
         """Counts of the first 0, 1, 2, ... code points of a chunk."""
@@ -208,9 +247,10 @@ class PrefixCounter:
             # A cut special string is text like any other.
             cut = self._plain(text[at : m.end() - 1])
             out[at : m.end()] = done + cut
-            done += int(cut[m.start() - at]) + 1
+            done += self._total(text[at : m.start()]) + 1
             at = m.end()
         out[at:] = done + self._plain(text[at:])
+        out = np.minimum(out, NO_CUT)
         if len(text) <= self.enc.longest:
             if len(self.known) >= self.max_entries:
                 self.known.clear()
@@ -223,7 +263,7 @@ class PrefixCounter:
         at = done = 0
         for m in _CHUNK.finditer(text):
             out[at : m.start()] = done
-            out[m.start() : m.end() + 1] = done + self.chunk(m.group())
+            out[m.start() : m.end() + 1] = np.minimum(done + self.chunk(m.group()), NO_CUT)
             at, done = m.end(), int(out[m.end()])
         out[at:] = done
         return out
@@ -272,7 +312,8 @@ def longest_within(prefix_counts: bytes, limit: int) -> int:
 def prefix_table(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer: str = WORD_BPE) -> DataFrame:
     """``key`` and ``prefix_counts`` (little-endian int32 array as binary): the
     stored dynamic programme of each text, the token counts of its first 0, 1,
-    2, ... code points.
+    2, ... code points (``NO_CUT`` between characters of long chunks that the
+    normalizer joins).
 
     Null and empty texts have the one count 0; texts of any length are counted
     whole; repeated rows give repeated rows; an empty table gives no rows;

@@ -59,6 +59,17 @@ def test_long_texts_without_white_space(library, unit):
     assert counts[n] <= 2048 < counts[n + 1 :].min()
 
 
+@pytest.mark.parametrize("unit", ["e\u0323\u0302a\u0301b", "\u1112\u1161\u11ab", "x\x85\x85y<|endoftext|>e\u0301"])
+def test_long_texts_whose_characters_are_joined(library, unit):
+    text = (unit * 30_000)[:60_000]
+    counts = token_counts.counter("word_bpe_49k.json").text(text)
+    assert counts[0] == 0 and counts[-1] == len(library.encode(text, add_special_tokens=False).ids)
+    cuts = np.flatnonzero(counts < token_counts.NO_CUT)
+    assert len(cuts) >= len(text) // len(unit)
+    for n in [*cuts[:60], *cuts[1_000:1_010], cuts[-3]]:
+        assert counts[n] == len(library.encode(text[:n], add_special_tokens=False).ids)
+
+
 def test_counts(spark, library, odd, odd_clashing, empty):
     got = token_counts.token_counts(odd, (5, 2048))
     assert Counter(tuple(r) for r in got.select("doc_id", "n_bytes", "n_tokens").collect()) == Counter(
