@@ -23,10 +23,23 @@ def expected(rows):
     for c in {r[0] for r in rows}:
         turns = sorted(((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == c))
         loss = "".join(t for _, _, role, t in turns if role == "assistant")
-        out[c] = (len(turns), sha("".join(f"{role}\n{t}\n" for _, _, role, t in turns)), len(loss), sha(loss))
+        before, contexts = "", []
+        for _, _, role, t in turns:
+            body, name = (x.replace("\\", "\\b").replace("<|", "<\\p") for x in (t, role))
+            head = "<|im_start|>" + name.replace("\n", "\\n") + "\n"
+            if role == "assistant":
+                contexts.append(before + head)
+            before += head + body + "<|im_end|>\n"
+        out[c] = (
+            len(turns), sha("".join(f"{role}\n{t}\n" for _, _, role, t in turns)), len(loss), sha(loss),
+            len(before), len(contexts), sum(map(len, contexts)), sha("".join(map(sha, contexts))),
+        )
     return out
 
 
+COLUMNS = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples", "context_chars", "contexts_sha256")
+
+
 def test_round_trip(spark):
     rows = [(0, i, role, text) for i, (role, text) in enumerate((r, t) for t in HARD for r in ("user", "assistant", "a\nb\\n<|", None))]
     rows += [(1, 0, "user", "no reply"), (2, 0, "assistant", None), (None, 1, "assistant", "b"), (None, None, "user", "a"), (3, 1, "x", "q"), (3, 1, "x", "q")]
@@ -34,7 +47,7 @@ def test_round_trip(spark):
     want = expected(rows)
     assert got.keys() == want.keys()
     for c, w in want.items():
-        assert (got[c]["n_turns"], got[c]["turns_sha256"], got[c]["loss_chars"], got[c]["loss_sha256"]) == w
+        assert tuple(got[c][k] for k in COLUMNS) == w
 
 
 def test_examples(spark):
@@ -49,5 +62,5 @@ def test_long_conversation_and_other_columns(spark):
     rows = [(5, i, ("user", "assistant")[i % 2], f"text {i} " * 20) for i in range(3000)]
     df = frame(spark, rows).withColumn("formatted", F.lit(1)).withColumn("piece", F.lit("x")).withColumn("examples", F.lit(2))
     got = chat.read_back(chat.format_conversations(df)).collect()
-    assert [(r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in got] == [expected(rows)[5]]
+    assert [tuple(r[k] for k in COLUMNS) for r in got] == [expected(rows)[5]]
     assert chat.read_back(chat.format_conversations(frame(spark, []))).count() == 0
