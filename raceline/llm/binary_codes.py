@@ -5,7 +5,9 @@ with one correction factor: the inner product of the vector with its own
 signs. For another vector q the signs' inner product with q, divided by that
 factor, estimates the inner product of the two vectors without bias, and its
 error is below ``z sqrt((1 - f^2) / (f^2 (D - 1)))`` with a confidence that
-``z`` sets. A pair whose upper bound stays below the threshold is settled by
+``z`` sets. The rotated coordinates of q are rounded to a byte each, and the
+length of what rounding leaves out widens the bound by as much as it can change
+the estimate. A pair whose upper bound stays below the threshold is settled by
 the estimate; every other pair is computed again exactly, in double precision.
 
 Pairs come from tables of sign bits: two vectors meet in a table if they
@@ -15,6 +17,10 @@ follows the bits, so that a pair at the threshold meets somewhere with the
 probability asked for (one far above it, nearly always). A pair counts in the
 first table that it meets in. Large buckets are cut into pieces, and the pieces
 compared two by two, so no task holds a bucket.
+
+Only sketches (signs, factors and bytes) go through the tables. A bucket's
+members that may be linked to another one there are named, the vectors are
+fetched for these alone, and their pairs are computed exactly.
 """
 
 from __future__ import annotations
@@ -28,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from raceline.llm.common import Scratch, slabs
+from raceline.llm.common import Scratch, shuffle_partitions, slabs
 from raceline.llm.components import connected_components
 
 #: Vectors that a piece of a bucket holds, about.
@@ -70,6 +76,29 @@ def encode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(turned > 0, axis=1), np.abs(turned).sum(1) / math.sqrt(unit.shape[1])
 
 
+def sketch(unit: np.ndarray) -> list[bytes]:
+    """What goes through the tables for unit vectors: correction factor, step
+    of the rounded coordinates, length of what rounding leaves out (single
+    precision), packed signs, rotated coordinates as signed bytes."""
+    packed, factor = encode(unit)
+    turned = unit @ rotation(unit.shape[1], 0).T
+    step = np.abs(turned).max(1) / 127
+    low = np.rint(turned / step[:, None]).astype(np.int8)
+    rest = np.linalg.norm(turned - low * step[:, None], axis=1)
+    numbers = np.stack([factor, step, rest], axis=1).astype(np.float32)
+    return [n.tobytes() + p.tobytes() + q.tobytes() for n, p, q in zip(numbers, packed, low)]
+
+
+def read_sketches(sketches: list[bytes], dim: int) -> tuple[np.ndarray, ...]:
+    """Signs (packed), factors, rounded rotated vectors and the length of
+    what rounding left out."""
+    raw = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    head, bits = 3 * 4, (dim + 7) // 8
+    factor, step, rest = raw[:, :head].copy().view(np.float32).T
+    low = raw[:, head + bits :].copy().view(np.int8)
+    return raw[:, head : head + bits], factor, low * step[:, None], rest
+
+
 def upper_bounds(code: np.ndarray, factor: np.ndarray, turned: np.ndarray, z: float) -> np.ndarray:
     """For rows of codes and of rotated unit vectors: estimated inner product
     plus its error bound."""
@@ -99,38 +128,62 @@ def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = least
 
 
-def _compare(rows: pa.Table, threshold: float, z: float, bits: int, tables: int) -> tuple[np.ndarray, ...]:
-    """Links inside the buckets of a slab: indices a, b of the pairs with
-    cosine >= threshold, and whether the pair counts in this table."""
-    get = lambda name: np.asarray(rows.column(name).combine_chunks())
-    table, key, side, dim = get("table"), get("key"), get("side"), int(rows.column("dim")[0].as_py())
-    group = np.cumsum(np.append(0, (table[1:] != table[:-1]) | (key[1:] != key[:-1]) | (get("first")[1:] != get("first")[:-1]) | (get("second")[1:] != get("second")[:-1])))
-    n = len(table)
-    x = np.asarray(rows.column("embedding").combine_chunks().flatten()).astype(np.float64).reshape(n, dim)
-    norm = np.linalg.norm(x, axis=1)
-    unit = x / norm[:, None]
-    turned = (unit @ rotation(dim, 0).T).astype(np.float32)
-    code = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(n, -1)
-    factor = get("factor")
-    apart = get("first") != get("second")
-
-    found_a, found_b = [], []
-    step = max(1, 4_000_000 // max(dim, 1))
-    live = np.arange(n)
-    for d in range(1, n):
-        live = live[live + d < n]
+def _column(rows: pa.Table, name: str) -> np.ndarray:
+    return np.asarray(rows.column(name).combine_chunks())
+
+
+def _pairs(rows: pa.Table, step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a slab that a bucket's pieces compare, at most
+    ``step`` at once: both ends of one piece, or one end of each."""
+    columns = [_column(rows, name) for name in ("table", "key", "first", "second")]
+    group = np.cumsum(np.append(0, np.any([c[1:] != c[:-1] for c in columns], axis=0)))
+    side, apart = _column(rows, "side"), columns[2] != columns[3]
+    live = np.arange(len(group))
+    for d in range(1, len(group)):
+        live = live[live + d < len(group)]
         live = live[group[live] == group[live + d]]
         if not len(live):
-            break
+            return
         pick = live[~apart[live] | (side[live] != side[live + d])]
         for k in range(0, len(pick), step):
-            i = pick[k : k + step]
-            j = i + d
-            i, j = (v[upper_bounds(code[i], factor[i], turned[j], z) >= threshold] for v in (i, j)) if len(i) else (i, j)
-            exact = np.einsum("ij,ij->i", x[i], x[j]) / (norm[i] * norm[j])
-            found_a.append(i[exact >= threshold])
-            found_b.append(j[exact >= threshold])
-    a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (found_a, found_b))
+            yield pick[k : k + step], pick[k : k + step] + d
+
+
+def _at_once(dim: int) -> int:
+    return max(1, 4_000_000 // max(dim, 1))
+
+
+def _may_link(rows: pa.Table, threshold: float, z: float) -> np.ndarray:
+    """Which rows of a slab of sketches have a partner in their bucket that
+    the bound does not rule out."""
+    dim = rows.column("dim")[0].as_py()
+    code, factor, turned, rest = read_sketches(rows.column("sketch").to_pylist(), dim)
+    found = np.zeros(len(code), bool)
+    for i, j in _pairs(rows, _at_once(dim)):
+        near = upper_bounds(code[i], factor[i], turned[j], z) + rest[j] / factor[i] >= threshold
+        found[i[near]] = found[j[near]] = True
+    return found
+
+
+def _compare(rows: pa.Table, threshold: float, z: float, bits: int, tables: int) -> tuple[np.ndarray, ...]:
+    """Links inside the buckets of a slab of vectors: indices a, b of the
+    pairs with cosine >= threshold, and whether the pair counts in this table."""
+    table, dim = _column(rows, "table"), rows.column("dim")[0].as_py()
+    x = np.asarray(rows.column("embedding").combine_chunks().flatten()).astype(np.float64).reshape(len(table), dim)
+    norm = np.linalg.norm(x, axis=1)
+    unit = x / norm[:, None]
+    code, factor = encode(unit)
+    turned = (unit @ rotation(dim, 0).T).astype(np.float32)
+
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    step = _at_once(dim)
+    for i, j in _pairs(rows, step):
+        near = upper_bounds(code[i], factor[i], turned[j], z) >= threshold
+        i, j = i[near], j[near]
+        exact = np.einsum("ij,ij->i", x[i], x[j]) / (norm[i] * norm[j])
+        found_a.append(i[exact >= threshold])
+        found_b.append(j[exact >= threshold])
+    a, b = np.concatenate(found_a), np.concatenate(found_b)
     counts = np.ones(len(a), bool)
     if len(a):
         ends = np.unique(np.concatenate([a, b]))
@@ -142,6 +195,14 @@ def _compare(rows: pa.Table, threshold: float, z: float, bits: int, tables: int)
     return a, b, counts
 
 
+def _slabs_by_dim(batches: Iterator[pa.RecordBatch], group: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Slabs of whole groups whose vectors have one length."""
+    for slab in slabs(batches, group):
+        dims = _column(slab, "dim")
+        for dim in np.unique(dims):
+            yield slab.filter(pa.array(dims == dim))
+
+
 def near_duplicates(
     vectors: DataFrame, threshold: float = 0.9, embedding: str = "embedding", key: str = "vec_id", missed: float = 0.002, z: float = 4.0
 ) -> DataFrame:
@@ -170,19 +231,14 @@ def near_duplicates(
                 part = b.filter(pa.array(dims == dim))
                 x = np.asarray(part.column("embedding").flatten()).astype(np.float64).reshape(-1, dim)
                 unit = x / np.linalg.norm(x, axis=1)[:, None]
-                packed, factor = encode(unit)
                 keys = pa.array(list(bucket_keys(unit, bits, tables)), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n) for n in ("node", "copies", "dim", "embedding")), pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(factor), keys],
-                    names=["node", "copies", "dim", "embedding", "code", "factor", "keys"],
+                    [part.column("node"), part.column("dim"), pa.array(sketch(unit), pa.binary()), keys], names=["node", "dim", "sketch", "keys"]
                 )
 
-    kind = distinct.schema["embedding"].dataType.simpleString()
-    coded = distinct.select("node", "copies", "dim", "embedding").mapInArrow(
-        code, f"node bigint, copies bigint, dim int, embedding {kind}, code binary, factor double, keys array<bigint>"
-    )
+    coded = distinct.select("node", "dim", "embedding").mapInArrow(code, "node bigint, dim int, sketch binary, keys array<bigint>")
     coded = scratch.write(coded, "codes")
-    met = coded.select("node", "copies", "dim", "embedding", "code", "factor", F.posexplode("keys").alias("table", "key"))
+    met = coded.select("node", "dim", "sketch", F.posexplode("keys").alias("table", "key"))
     bucket = ["dim", "table", "key"]
     sizes = coded.select("dim", F.posexplode("keys").alias("table", "key")).groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"))
     large = scratch.write(sizes.where(F.col("n") > PIECE).select(*bucket, F.ceil(F.col("n") / F.lit(PIECE)).cast("long").alias("pieces")), "large")
@@ -190,41 +246,43 @@ def near_duplicates(
     # A piece meets itself and every other piece of its bucket, each pair once.
     own = F.pmod(F.xxhash64("node", F.lit(11)), F.coalesce("pieces", F.lit(1)))
     cut = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("pieces", F.lit(1)) - 1)))
+    group = [*bucket, "first", "second"]
     cut = cut.select(
         *bucket,
         F.least("own", "other").alias("first"),
         F.greatest("own", "other").alias("second"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
         "node",
-        "copies",
-        "embedding",
-        "code",
-        "factor",
+        "sketch",
     )
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = ("dim", "table", "key", "first", "second")
-        for slab in slabs(batches, group):
-            dims = np.asarray(slab.column("dim").combine_chunks())
-            for dim in np.unique(dims):
-                part = slab.filter(pa.array(dims == dim)) if len(np.unique(dims)) > 1 else slab
-                a, b, counts = _compare(part, threshold, z, bits, tables)
-                if not len(a):
-                    continue
-                node = np.asarray(part.column("node").combine_chunks())
-                copies = np.asarray(part.column("copies").combine_chunks())
-                n = len(node)
-                links = np.bincount(a[counts], copies[b[counts]], n) + np.bincount(b[counts], copies[a[counts]], n)
-                label = _spanning(n, a, b)
-                told = np.unique(np.concatenate([a, b]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[told]), pa.array(node[label[told]]), pa.array(links[told].astype(np.int64))], names=["a", "b", "links"]
-                )
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slabs_by_dim(batches, tuple(group)):
+            told = part.filter(pa.array(_may_link(part, threshold, z))).drop_columns(["sketch"])
+            yield from told.to_batches()
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    group = [*bucket, "first", "second"]
-    found = cut.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(link, "a bigint, b bigint, links bigint")
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slabs_by_dim(batches, tuple(group)):
+            a, b, counts = _compare(part, threshold, z, bits, tables)
+            if not len(a):
+                continue
+            node, copies = _column(part, "node"), _column(part, "copies")
+            n = len(node)
+            links = np.bincount(a[counts], copies[b[counts]], n) + np.bincount(b[counts], copies[a[counts]], n)
+            label = _spanning(n, a, b)
+            told = np.unique(np.concatenate([a, b]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[told]), pa.array(node[label[told]]), pa.array(links[told].astype(np.int64))], names=["a", "b", "links"]
+            )
+
+    parts = shuffle_partitions(spark)
+    together = lambda df: df.repartition(parts, *group).sortWithinPartitions(*group)
+    named = together(cut).mapInArrow(pick, "dim int, table int, key bigint, first bigint, second bigint, side int, node bigint")
+    # A node is in as many rows as buckets that may link it; no pair is written.
+    fetched = scratch.write(named, "named").join(distinct.select("node", "copies", "embedding"), "node")
+    found = together(fetched).mapInArrow(link, "a bigint, b bigint, links bigint")
     found = scratch.write(found, "links")
+    scratch.drop("codes", "large", "named")
     roots = connected_components(found.select("a", "b"), scratch)
     counted = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
 

@@ -76,6 +76,34 @@ def test_estimates_are_unbiased_and_bounded():
     assert (binary_codes.upper_bounds(code, factor, turned, 4.0) >= np.einsum("ij,ij->i", x, y)).mean() > 0.999
 
 
+def test_sketches_never_rule_out_more_than_the_codes():
+    rng = np.random.default_rng(5)
+    for dim in (1, 5, 64):
+        x, y = (v / np.linalg.norm(v, axis=1)[:, None] for v in rng.standard_normal((2, 500, dim)))
+        code, factor, turned, rest = binary_codes.read_sketches(binary_codes.sketch(y), dim)
+        exact = y @ binary_codes.rotation(dim, 0).T
+        assert np.allclose(np.linalg.norm(turned - exact, axis=1), rest, atol=1e-5)
+        own, f = binary_codes.encode(x)
+        assert (code == binary_codes.encode(y)[0]).all() and np.allclose(factor, binary_codes.encode(y)[1])
+        plain = binary_codes.upper_bounds(own, f, exact.astype(np.float32), 4.0)
+        assert (binary_codes.upper_bounds(own, f, turned, 4.0) + rest / f >= plain - 1e-5).all()
+
+
+def test_near_duplicates_just_above_the_threshold(spark):
+    """Half of 4,000 vectors have a partner at a cosine of 0.9 to 0.92."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    other = rng.standard_normal((1000, 64))
+    other -= np.einsum("ij,ij->i", other, x[:1000])[:, None] * x[:1000]
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    cos = rng.uniform(0.9001, 0.92, 1000)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, cos * x[:1000] + np.sqrt(1 - cos**2) * other]))]
+    got = {r["vec_id"]: r for r in binary_codes.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert sum(got[3000 + i]["component_id"] == i for i in range(1000)) >= 990
+    assert all(got[i]["n_links"] == 0 for i in range(1000, 3000))
+
+
 def brute_nearest(rows, asks, top):
     good = {}
     for i, v, *_ in rows:
