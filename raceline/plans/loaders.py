@@ -40,7 +40,7 @@ from raceline.operators.sessions import (
 )
 from raceline.sources.landing import CORRUPT, DETAIL, FIELDS, ORIGIN, drop_error_envelopes, stringify
 from raceline.sources.ledger import PAIR, append_ledger, ledger_skip, read_ledger
-from raceline.sources.manifest import adopt, new_load_id, publish_load, published_loads, read_published
+from raceline.sources.manifest import adopt, new_load_id, publish_load, published_loads, read_may_hold, read_published
 from raceline.sources.payloads import answered, tiled
 from raceline.sources.rejects import store_rejects
 
@@ -319,6 +319,25 @@ def run_location_backfill(
 #: The tables with many rows per session are stored by session.
 PARTITIONED = {"car_data", "location", "position", "intervals"}
 
+#: What a loader skips by: the key columns of what its table already holds.
+SKIP_KEYS: dict[str, list[str]] = {
+    "drivers": ["driver_number", "session_key"],
+    "meetings": ["meeting_key"],
+    "sessions": ["session_key"],
+    "team_radio": DEDUP_KEYS["team_radio"],
+    "location": PAIR,
+    "car_data": PAIR,
+} | {t: ["session_key"] for t in ("laps", "intervals", "position", "pit", "race_control", "stints", "weather")}
+
+
+def target_for(landing: DataFrame, table_path: str) -> DataFrame:
+    """The stored rows that a loader's skip of this landing has to know: of
+    the table's loads only those are opened that may hold a landed key. The
+    loader compares the keys exactly, so its result is that over the whole
+    table."""
+    table = table_path.rstrip("/").rsplit("/", 1)[-1]
+    return read_may_hold(landing.sparkSession, table_path, schemas.RAW[table], landing, SKIP_KEYS[table])
+
 
 def run_load(
     new_rows: DataFrame, table_path: str, partition_by: Sequence[str] | None = None, landing: DataFrame | None = None, reject_path: str | None = None
@@ -327,14 +346,16 @@ def run_load(
     session_key if the path names one of the large per-session tables; returns
     its rows. A run that is cut off leaves no rows, so the session or key
     skips of the next run don't pass over what it had not written. Plain files
-    that the table already has become its first load. With ``landing`` and
+    that the table already has become its first load. A sketch of the skip keys is
+    written with the load (``target_for``). With ``landing`` and
     ``reject_path`` the landed objects that could not be read are stored
     there, each once."""
     table = table_path.rstrip("/").rsplit("/", 1)[-1]
     if partition_by is None:
         partition_by = ("session_key",) if table in PARTITIONED else ()
     adopt(new_rows.sparkSession, table_path, new_rows.schema, partition_by)
-    rows = publish_load(new_rows, table_path, new_load_id(), partition_by)
+    keys = SKIP_KEYS.get(table, ())
+    rows = publish_load(new_rows, table_path, new_load_id(), partition_by, sketch=keys if set(keys) <= set(new_rows.columns) else ())
     if landing is not None and reject_path:
         store_rejects(landing, reject_path)
     return rows

@@ -68,6 +68,44 @@ def test_compaction_keeps_rows_and_bounds_folders(spark, tmp_path):
     assert manifest.read_published(spark, path, PIT).count() == 18
 
 
+def test_skip_opens_only_loads_that_may_hold_a_key(spark, tmp_path):
+    path = str(tmp_path / "pit")
+    for session in range(6):
+        loaders.run_load(pit_rows(spark, range(5), session), path)
+    landed = pit_rows(spark, range(8), 2).unionByName(pit_rows(spark, range(8), 77))
+    target = loaders.target_for(landed, path)
+    whole = manifest.read_published(spark, path, PIT)
+    assert len(whole.inputFiles()) >= 6
+    assert len(target.inputFiles()) <= len(whole.inputFiles()) // 3  # session 2's load, rarely one more
+    new = [sorted(map(tuple, loaders.load_pit(landed, t).collect())) for t in (target, whole)]
+    assert new[0] == new[1] and len(new[0]) == 8
+    # A load without a sketch is always opened; a landing without the key opens all.
+    manifest.publish_load(pit_rows(spark, range(4), 77), path, "plain")
+    assert loaders.load_pit(landed, loaders.target_for(landed, path)).count() == 0
+    assert loaders.target_for(landed.drop("session_key"), path).count() == 34
+    # Compaction makes the sketch anew where all loads have one.
+    manifest.compact(spark, path, PIT)
+    assert len(manifest.vacuum(spark, path)) == 7
+    assert loaders.load_pit(landed, loaders.target_for(landed, path)).count() == 0
+
+
+def test_sketch_denies_no_key(spark, tmp_path):
+    """NULL keys, other types and an empty load; loads that hold nothing asked for are few."""
+    radio = [{"session_key": s, "driver_number": n, "recording_url": u} for s in range(40) for n in (1, None) for u in ("a", None)]
+    path = str(tmp_path / "team_radio")
+    for part in range(4):
+        loaders.run_load(frame(spark, "team_radio", [r for r in radio if r["session_key"] % 4 == part]), path)
+    loaders.run_load(frame(spark, "team_radio", []), path)
+    asked = frame(spark, "team_radio", radio).withColumn("session_key", F.col("session_key").cast("string"))
+    assert loaders.target_for(asked, path).count() == len(radio)
+    assert loaders.load_team_radio(frame(spark, "team_radio", radio), loaders.target_for(asked, path)).count() == 0
+    for r in radio[:6]:
+        one = frame(spark, "team_radio", [r])
+        assert loaders.load_team_radio(one, loaders.target_for(one, path)).count() == 0
+    strange = frame(spark, "team_radio", [{"session_key": s, "driver_number": 9, "recording_url": "z"} for s in range(1000, 1010)])
+    assert loaders.target_for(strange, path).count() < len(radio)
+
+
 def land(folder, key, text):
     where = folder.joinpath(*(f"{k}={v}" for k, v in key.items()))
     where.mkdir(parents=True)
