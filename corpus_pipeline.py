@@ -50,10 +50,11 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     in_group = (F.col("n_shingles") > 0) & F.col("component_id").isNotNull()
     first = found.where(in_group & (F.col("doc_id") == F.col("component_id"))).groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
     rest = found.where(~in_group).select("doc_id", "text_key")
-    row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text_key").alias("row")
-    kept = first.unionByName(rest).select(row).distinct()
-    keyed = docs.select(*COLUMNS, ngram_join.text_key(F.col("text")).alias("text_key")).select(*COLUMNS, row)
-    return keyed.join(kept, "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS)
+    # The hash tells texts of one id apart; the id is compared by value.
+    kept = first.unionByName(rest).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
+    keyed = docs.select(*COLUMNS, ngram_join.text_key(F.col("text")).alias("text_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_key"]).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
