@@ -10,10 +10,11 @@ a cheap residual. A hot key is spread over as many tasks as it has buckets,
 every (point, range) pair is produced exactly once, and the result does not
 depend on the bucket width (only the cost does).
 
-A range that covers more than MOST_BUCKETS buckets, for example a lap of a
-wrong duration of years, is not exploded into all of them: its buckets are
-2, 4, 8, ... times as wide, so that it has MOST_BUCKETS rows at most. Points
-get a row for each such level that a range uses, one row in ordinary data.
+A range that covers more than ``most`` buckets (MOST_BUCKETS unless given),
+for example a lap of a wrong duration of years, is not exploded into all of
+them: its buckets are 2, 4, 8, ... times as wide, so that it has ``most`` + 1
+rows at most. Points get a row for each such level that a range uses, one row
+in ordinary data. A small ``most`` suits joins with more ranges than points.
 """
 
 from __future__ import annotations
@@ -61,28 +62,28 @@ def _shifted(n: Column, by: Column) -> Column:
     return F.call_function("shiftright", n, by.cast("int"))
 
 
-def _levelled(ranges: DataFrame, lo: str, hi: str, width: float) -> DataFrame:
+def _levelled(ranges: DataFrame, lo: str, hi: str, width: float, most: int) -> DataFrame:
     """The ranges with the buckets of their ends and their level: the least at
-    which they cover MOST_BUCKETS buckets or fewer."""
+    which they are at most ``most`` (a power of two) buckets long."""
     lo_axis, is_time = _axis(ranges, lo)
     hi_axis, _ = _axis(ranges, hi)
     w = _width(is_time, width)
     located = ranges.withColumns({"__first": _bucket_of(lo_axis, w), "__last": _bucket_of(hi_axis, w)})
-    many = F.greatest(F.lit(0), _bits(F.greatest(F.lit(0).cast("long"), F.col("__last") - F.col("__first"))) - _bits(F.lit(MOST_BUCKETS - 1).cast("long")))
+    many = F.greatest(F.lit(0), _bits(F.greatest(F.lit(0).cast("long"), F.col("__last") - F.col("__first"))) - _bits(F.lit(most - 1).cast("long")))
     return located.withColumn(_LEVEL, F.coalesce(many, F.lit(0)).cast("int"))
 
 
-def bucketed_points(points: DataFrame, point: str, ranges: DataFrame, lo: str, hi: str, width: float | None) -> DataFrame:
+def bucketed_points(points: DataFrame, point: str, ranges: DataFrame, lo: str, hi: str, width: float | None, most: int = MOST_BUCKETS) -> DataFrame:
     """One row per point and level that a range uses."""
     if width is None:
         return points.withColumns({_LEVEL: F.lit(0), _BUCKET: F.lit(0).cast("long")})
     axis, is_time = _axis(points, point)
-    used = _levelled(ranges.select(lo, hi), lo, hi, width).agg(F.collect_set(_LEVEL)).scalar()
+    used = _levelled(ranges.select(lo, hi), lo, hi, width, most).agg(F.collect_set(_LEVEL)).scalar()
     located = points.withColumn("__at", _bucket_of(axis, _width(is_time, width))).withColumn(_LEVEL, F.explode(used))
     return located.withColumn(_BUCKET, _shifted(F.col("__at"), F.col(_LEVEL))).drop("__at")
 
 
-def bucketed_ranges(ranges: DataFrame, lo: str, hi: str, width: float | None) -> DataFrame:
+def bucketed_ranges(ranges: DataFrame, lo: str, hi: str, width: float | None, most: int = MOST_BUCKETS) -> DataFrame:
     """One row per (range, covered bucket of its level). Empty or NULL ranges
     keep a single row (they match nothing but survive a left join).
     ``width=None`` puts everything in one bucket: the plain equi join with the
@@ -91,7 +92,7 @@ def bucketed_ranges(ranges: DataFrame, lo: str, hi: str, width: float | None) ->
         return ranges.withColumns({_LEVEL: F.lit(0), _BUCKET: F.lit(0).cast("long")})
     first, last = (_shifted(F.col(c), F.col(_LEVEL)) for c in ("__first", "__last"))
     covered = F.when(first <= last, F.sequence(first, last)).otherwise(F.array(first))
-    return _levelled(ranges, lo, hi, width).withColumn(_BUCKET, F.explode(covered)).drop("__first", "__last")
+    return _levelled(ranges, lo, hi, width, most).withColumn(_BUCKET, F.explode(covered)).drop("__first", "__last")
 
 
 def interval_join(
@@ -103,14 +104,15 @@ def interval_join(
     hi: str,
     width: float,
     hi_inclusive: bool = True,
+    most: int = MOST_BUCKETS,
 ) -> DataFrame:
     """Inner join: every (point, range) pair with equal keys and
     ``lo <= point <= hi`` (``lo <= point < hi`` with ``hi_inclusive=False``).
     ``width`` is the bucket width in seconds for timestamp axes, in units
     otherwise."""
     _check(points, ranges, keys)
-    p = bucketed_points(points, point, ranges, lo, hi, width).alias("p")
-    r = bucketed_ranges(ranges, lo, hi, width).alias("r")
+    p = bucketed_points(points, point, ranges, lo, hi, width, most).alias("p")
+    r = bucketed_ranges(ranges, lo, hi, width, most).alias("r")
     cond = [F.col(f"p.{k}") == F.col(f"r.{k}") for k in keys]
     cond += [
         F.col(f"p.{_LEVEL}") == F.col(f"r.{_LEVEL}"),
@@ -132,17 +134,21 @@ def interval_left_aggregate(
     lo: str,
     hi: str,
     width: float,
-    group_by: Sequence[str],
+    group_by: Sequence[str | Column],
     aggs: Sequence[Column],
+    matched_only: bool = False,
+    most: int = MOST_BUCKETS,
 ) -> DataFrame:
     """``ranges LEFT JOIN points ON keys AND point BETWEEN lo AND hi GROUP BY
     group_by`` for aggregates that ignore NULL inputs (min, max, avg, sum,
     count(col)): buckets of a range without a matching point contribute only
     NULL rows, which such aggregates skip, and a range without any match still
-    yields its group with NULL aggregates, exactly as the plain left join."""
+    yields its group with NULL aggregates, exactly as the plain left join.
+    ``matched_only`` leaves those groups out, for a caller that joins the
+    result to its ranges anyway: only matches are shuffled for the groups."""
     _check(points, ranges, keys)
-    p = bucketed_points(points, point, ranges, lo, hi, width).alias("p")
-    r = bucketed_ranges(ranges, lo, hi, width).alias("r")
+    p = bucketed_points(points, point, ranges, lo, hi, width, most).alias("p")
+    r = bucketed_ranges(ranges, lo, hi, width, most).alias("r")
     cond = [F.col(f"p.{k}") == F.col(f"r.{k}") for k in keys]
     cond += [
         F.col(f"p.{_LEVEL}") == F.col(f"r.{_LEVEL}"),
@@ -152,7 +158,7 @@ def interval_left_aggregate(
     ]
     cols = [F.col(f"r.`{c}`") for c in ranges.columns]
     cols += [F.col(f"p.`{c}`") for c in points.columns if c not in keys]
-    joined = r.join(p, cond, "left").select(*cols)
+    joined = r.join(p, cond, "inner" if matched_only else "left").select(*cols)
     return joined.groupBy(*group_by).agg(*aggs)
 
 

@@ -56,20 +56,25 @@ def blocked_running_max(
     order: Sequence[Column],
     values: dict[str, str],
     materialize: bool = False,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out = max(value) over (partition by keys order by order rows
-    between unbounded preceding and current row)`` for each ``out: value``."""
+    between unbounded preceding and current row)`` for each ``out: value``.
+
+    The prefix of a block is one more row of it, before all others, so ``df``
+    is shuffled once, by keys and block (NULL ones are blocks of their own).
+    ``summary`` has the keys, all blocks and the values of ``df``: the block
+    maxima are taken from it, so wide rows need not be made twice. It may hold
+    earlier blocks that ``df`` has no rows of."""
     if materialize:
         df = _materialized(df)
-    per_block = df.groupBy(*keys, block).agg(*[F.max(v).alias(f"__bmax_{o}") for o, v in values.items()])
-    prefix = per_block.select(
-        *keys, block, *[F.max(f"__bmax_{o}").over(_prefix_window(keys, block)).alias(f"__prev_{o}") for o in values]
-    )
-    inside = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = join_null_safe(df, prefix, [*keys, block], "left")
-    for o, v in values.items():
-        out = out.withColumn(o, F.greatest(F.col(f"__prev_{o}"), F.max(v).over(inside)))
-    return out.drop(*[f"__prev_{o}" for o in values])
+    maxima = [F.max(v).alias(v) for v in dict.fromkeys(values.values())]
+    per_block = (df if summary is None else summary).groupBy(*keys, block).agg(*maxima)
+    before = _prefix_window(keys, block)
+    prefix = per_block.select(*keys, block, *[F.max(v).over(before).alias(v) for v in dict.fromkeys(values.values())])
+    rows = df.withColumn("__own", F.lit(True)).unionByName(prefix, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, block).orderBy(F.col("__own").asc_nulls_first(), *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumns({o: F.max(v).over(inside) for o, v in values.items()}).where("__own").drop("__own")
 
 
 def blocked_row_numbers(

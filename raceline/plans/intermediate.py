@@ -19,6 +19,9 @@ PAIR = ["session_key", "driver_number"]
 # stint of laps (lap number in stint).
 LAP_BUCKET_SECONDS = 900
 WEATHER_BLOCK_SECONDS = 60
+# Buckets of a lap, about: a lap that is several buckets long gets wider ones
+# instead of a row for each.
+LAP_BUCKETS = 2
 STINT_BUCKET_LAPS = 8
 # Width of the distance blocks of the nearest-sample ranks.
 RANK_BLOCK_SECONDS = 60
@@ -78,7 +81,7 @@ def lap_position_samples(raw: Raw) -> DataFrame:
     distance in seconds to both lap ends."""
     positions = stg.stg_position(raw)
     laps = stg.stg_laps(raw).select(*PAIR, "lap_number", "date_start", "date_end")
-    inside = interval_join(positions, laps, PAIR, "date", "date_start", "date_end", LAP_BUCKET_SECONDS)
+    inside = interval_join(positions, laps, PAIR, "date", "date_start", "date_end", LAP_BUCKET_SECONDS, most=LAP_BUCKETS)
     return inside.withColumn("start_time_diff", F.abs(epoch_seconds_between("date", "date_start"))).withColumn(
         "end_time_diff", F.abs(epoch_seconds_between("date", "date_end"))
     )

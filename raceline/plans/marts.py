@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from raceline.functions.columns import concat_ignore_nulls, round_half_up
 from raceline.operators.interval_join import interval_left_aggregate
-from raceline.operators.ordered import blocked_running_max, join_null_safe
+from raceline.operators.ordered import blocked_running_max
 from raceline.plans import intermediate as it
 from raceline.plans import staging as stg
 from raceline.plans.graph import model
@@ -21,6 +21,8 @@ POINTS_BY_POSITION = [25, 18, 15, 12, 10, 8, 6, 4, 2, 1]
 
 # Laps per block of the running position fill.
 LAP_BLOCK = 16
+# A block number below that of any lap.
+BEFORE_ALL_BLOCKS = -(1 << 62)
 
 # Label formats. Driver in telemetry "ACR (Team)", driver in
 # lists "ACR - Full Name (Team)", session "YEAR - Country - Session name".
@@ -197,11 +199,13 @@ def final_historical_analysis(raw: Raw, numeric_gaps: bool = False) -> DataFrame
 
     Plan: the gap samples are aggregated per lap right after the bucketed
     interval join (min/max do not care how often a lap row repeats), and the
-    start/end samples are picked in one grouped pass; the lap rows are then
-    joined once to each per-lap result instead of fanning out the samples.
-    The running fill goes by blocks of laps, so no task sorts all laps of a
-    car. The leader gaps are texts and compare as texts (warehouse rule);
-    ``numeric_gaps`` compares and returns them as numbers.
+    start/end samples are picked in one grouped pass; both joins read the lap
+    ranges from one exchange. Whole lap rows are
+    shuffled twice: to their gaps, and by blocks of laps for the running fill
+    (so no task sorts all laps of a car), where the positions of the laps and
+    the first positions are rows of the same blocks. The leader gaps are texts
+    and compare as texts (warehouse rule); ``numeric_gaps`` compares and
+    returns them as numbers.
     """
     laps = stg.stg_laps(raw).select(
         *PAIR, "lap_number", "date_start", "date_end", "is_pit_out_lap",
@@ -216,21 +220,27 @@ def final_historical_analysis(raw: Raw, numeric_gaps: bool = False) -> DataFrame
     )
     lap_key = [*PAIR, "date_start", "date_end"]
     # Duplicate lap rows fall into the same group and min/max are idempotent,
-    # so the lap ranges need no DISTINCT (and no shuffle for it).
+    # so the lap ranges need no DISTINCT (and no shuffle for it). They are
+    # those of lap_position_samples, and grouped by lap number, too, so that
+    # both joins read them from one exchange. A lap's gaps do not depend on
+    # its number, so NULL may share one with a number.
+    number = F.coalesce("lap_number", F.lit(0)).alias("__number")
     gaps = interval_left_aggregate(
-        laps.select(*lap_key),
+        laps.select(*PAIR, "lap_number", "date_start", "date_end"),
         stg.stg_intervals(raw).select(
             *PAIR, F.date_trunc("second", "date").alias("gap_date"),
             F.col("gap_to_leader").try_cast("double").alias("gap_to_leader") if numeric_gaps else "gap_to_leader", "gap_to_next"
         ),
         PAIR, "gap_date", "date_start", "date_end", it.LAP_BUCKET_SECONDS,
-        group_by=lap_key,
+        group_by=[*lap_key, number],
         aggs=[
             F.min("gap_to_leader").alias("min_gap_to_leader"),
             F.max("gap_to_leader").alias("max_gap_to_leader"),
             round_half_up(F.min("gap_to_next"), 3).alias("min_gap_to_next"),
             round_half_up(F.max("gap_to_next"), 3).alias("max_gap_to_next"),
         ],
+        matched_only=True,
+        most=it.LAP_BUCKETS,
     )
     # Nearest sample to each lap end: the rank-1 rows of int_lap_position,
     # picked with min_by over the same ordering (NULL positions last), so
@@ -245,22 +255,31 @@ def final_historical_analysis(raw: Raw, numeric_gaps: bool = False) -> DataFrame
     ends = inside.groupBy(*PAIR, "lap_number").agg(
         nearest("start_time_diff").alias("start_position"), nearest("end_time_diff").alias("end_position")
     )
-    metrics = (
-        laps.join(first, PAIR, "left")
-        .join(gaps, lap_key, "left")
-        .dropDuplicates()
+    metrics = laps.select("*", number).join(gaps, [*lap_key, "__number"], "left").dropDuplicates().drop("__number")
+    # Start/end positions depend on (session, driver, lap_number) only. They
+    # are rows beside the laps in blocks of LAP_BLOCK laps: a lap takes its
+    # own from the rows of its number, and the running MAX from those before
+    # it. The first position of a car is the value of a block before all laps.
+    block = F.floor(F.col("lap_number") / LAP_BLOCK).alias("__lap_block")
+    found = ends.where(F.col("lap_number").isNotNull()).select("*", block)
+    summary = (
+        laps.select(*PAIR, block)
+        .unionByName(found.drop("lap_number"), allowMissingColumns=True)
+        .unionByName(
+            first.dropna(subset=PAIR).select(*PAIR, F.lit(BEFORE_ALL_BLOCKS).alias("__lap_block"), "first_position"),
+            allowMissingColumns=True,
+        )
     )
-    # Start/end positions depend on (session, driver, lap_number) only: the
-    # running MAX is computed on one row per lap number, per block of
-    # LAP_BLOCK laps plus a prefix over the blocks, and joined back together
-    # with the positions themselves.
-    lap_numbers = laps.select(*PAIR, "lap_number").distinct().join(ends, [*PAIR, "lap_number"], "left")
-    running = blocked_running_max(
-        lap_numbers.withColumn("__lap_block", F.floor(F.col("lap_number") / LAP_BLOCK)),
+    rows = metrics.select("*", block, F.lit(True).alias("__lap"), F.lit(None).cast("int").alias("first_position"))
+    rows = blocked_running_max(
+        rows.unionByName(found, allowMissingColumns=True),
         PAIR, "__lap_block", [F.col("lap_number").asc_nulls_last()],
-        {"__run_start": "start_position", "__run_end": "end_position"},
-    ).select(*PAIR, "lap_number", "start_position", "end_position", "__run_start", "__run_end")
-    metrics = join_null_safe(metrics, running, [*PAIR, "lap_number"], "left")
+        {"__run_start": "start_position", "__run_end": "end_position", "__first": "first_position"},
+        summary=summary,
+    )
+    same_lap = Window.partitionBy(*PAIR, "__lap_block", "lap_number")
+    own = {c: F.max(c).over(same_lap) for c in ("start_position", "end_position")}
+    metrics = rows.withColumns({**own, "first_position": F.col("__first")}).where("__lap")
 
     def filled(col: str, running: str) -> F.Column:
         return F.when(F.col("lap_number") == 1, F.col("first_position")).otherwise(
