@@ -25,8 +25,12 @@ def anti_by_key(df: DataFrame, target: DataFrame | None, keys: Sequence[str]) ->
 
 
 def anti_by_session(df: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Skip every session that already has any row in the target."""
-    return anti_by_key(df, target, ["session_key"])
+    """Skip every session that already has any row in the target. A session
+    has many rows, so a shuffle by session would send ``df`` to a few tasks:
+    the target's session keys, a few rows, are sent to those of ``df``."""
+    if target is None:
+        return df
+    return df.join(F.broadcast(target.select("session_key").distinct()), ["session_key"], "left_anti")
 
 
 def anti_by_pair(df: DataFrame, target: DataFrame | None) -> DataFrame:

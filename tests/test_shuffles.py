@@ -8,6 +8,7 @@ import random
 from pyspark.sql import functions as F
 
 from raceline.operators import interval_join as ij
+from raceline.operators.incremental import anti_by_session
 from raceline.operators.ordered import blocked_running_max
 from raceline.plans import marts
 from tests.conftest import raw_of, ts
@@ -109,3 +110,13 @@ def test_running_max_takes_block_maxima_from_a_summary(spark):
     for r in got:
         seen = [v for k, n, _, v in rows if k == r["k"] and n <= r["n"] and v is not None] + [21] * (r["k"] == 1)
         assert r["m"] == max(seen, default=None) and r["other"] == "x"
+
+
+def test_skip_of_loaded_sessions_shuffles_no_rows(spark):
+    rows = spark.range(9000).select((F.col("id") % 3).cast("int").alias("session_key"), F.col("id").alias("other"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 1)], "session_key int, other long"))
+    target = rows.where("session_key = 1 OR session_key IS NULL")
+    kept, written = with_conf(spark, PLAIN, lambda: shuffled_rows(anti_by_session(rows, target)))
+    assert len(kept) == 6001 and {r["session_key"] for r in kept} == {0, 2, None}
+    assert written < 1000, written
+    assert anti_by_session(rows, None) is rows
