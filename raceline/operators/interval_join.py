@@ -21,9 +21,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import IntegralType, TimestampNTZType, TimestampType
 
 _BUCKET, _LEVEL = "__bucket", "__level"
 #: Rows of a range, at most (a power of two).
@@ -187,6 +187,28 @@ def dyadic_cover(first: Column, end: Column) -> Column:
     return F.when(right - left > 1, pieces).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
 
 
+#: Added to instants, so that none is negative.
+_AT = 1 << 62
+#: What a range asks for: a block of a level (sides 0), or the part of a block
+#: up to (side 1) or from (side -1) an instant.
+_PIECE = ("level", "block", "at", "side")
+
+
+def _ends(first: Column, last: Column, lo: Column, hi: Column) -> Column:
+    """The instants from ``lo`` on in its block ``first`` and up to ``hi`` in
+    ``last``, level -1. If both are one block: the last instants from ``lo`` on
+    of the aligned block of 2^k units that holds it, and the first ones up to
+    ``hi`` of the next such block, level -2 - k. (k is the highest digit in
+    which ``lo`` and ``hi`` differ, so these blocks meet between them.)"""
+    digit = _bits(lo.bitwiseXOR(hi)) - 1
+    level = F.when(first != last, F.lit(-1)).otherwise(-2 - digit).cast("int").alias("level")
+
+    def end(block: Column, at: Column, side: int) -> Column:
+        return F.struct(level, F.when(first != last, block).otherwise(_shifted(at, digit)).alias("block"), at.alias("at"), F.lit(side).alias("side"))
+
+    return F.when(lo == hi, F.array(end(last, hi, 1))).otherwise(F.array(end(first, lo, -1), end(last, hi, 1)))
+
+
 def range_aggregate(
     ranges: DataFrame,
     points: DataFrame,
@@ -202,28 +224,43 @@ def range_aggregate(
     aggregate over points, the function that merges two of them).
 
     The points are aggregated per instant, per block of ``width`` and per
-    block of each coarser level. A range takes the coarsest blocks inside it,
-    at most two a level, and the instants of the two blocks that hold its
-    ends, all in one join."""
+    block of each coarser level. Ranges with the same ends are answered once.
+    One takes the coarsest blocks inside it, at most two a level, and a row
+    for each of its ends (``_ends``): what the block of that end holds up to
+    it, or from it on, is a running aggregate over the instants of the block
+    and the ends asked for. So no end is compared with all instants of its
+    block, and every join is an equi join."""
     axis, is_time = _axis(points, point)
+    if not is_time and not isinstance(points.schema[point].dataType, IntegralType):
+        raise ValueError("range aggregate: times or whole numbers only")
     w = _width(is_time, width)
     merged = [m(n).alias(n) for n, (_, m) in partials.items()]
-    instants = points.groupBy(*keys, F.col(point).alias("__at")).agg(*[a.alias(n) for n, (a, _) in partials.items()])
-    at_axis, _ = _axis(instants, "__at")
-    instants = instants.where(F.col("__at").isNotNull()).withColumn("block", _bucket_of(at_axis, w) + _ORIGIN)
-    finest = instants.groupBy(*keys, "block").agg(*merged)
-    levelled = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))).withColumn("block", _shifted(F.col("block"), F.col("level")))
-    blocks = levelled.groupBy(*keys, "level", "block").agg(*merged).withColumn("__at", F.lit(None).cast(points.schema[point].dataType))
-    held = instants.withColumn("level", F.lit(-1)).unionByName(blocks)
-    held = held.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("level").alias("__level"), F.col("block").alias("__block"), "__at", *partials)
-
-    first, last = (_bucket_of(_axis(ranges, c)[0], w) + _ORIGIN for c in (lo, hi))
-    located = ranges.withColumns({"__first": first, "__last": last})
-    whole = dyadic_cover(F.col("__first") + 1, F.col("__last"))
-    ends = F.transform(F.array_distinct(F.array("__first", "__last")), lambda x: F.struct(F.lit(-1).alias("level"), x.alias("block")))
-    pieces = F.when(F.col(lo) <= F.col(hi), F.concat(whole, ends))
-    asked = located.withColumn("__x", F.explode_outer(pieces)).drop("__first", "__last")
-    same = [F.col(k) == F.col(f"__{k}") for k in keys]
-    same += [F.col("__x.level") == F.col("__level"), F.col("__x.block") == F.col("__block")]
-    same += [F.col("__at").isNull() | F.col("__at").between(F.col(lo), F.col(hi))]
-    return asked.join(held, same, "left").groupBy(*ranges.columns).agg(*merged)
+    own = {k: f"__{k}" for k in keys}
+    timed = points.where(F.col(point).isNotNull()).select(*(F.col(k).alias(own[k]) for k in keys), "*", axis.alias("__axis"))
+    instants = timed.groupBy(*own.values(), "__axis").agg(*[a.alias(n) for n, (a, _) in partials.items()])
+    instants = instants.select(*own.values(), (_bucket_of(F.col("__axis"), w) + _ORIGIN).alias("__in"), (F.col("__axis") + _AT).alias("__at"), *partials)
+    finest = instants.groupBy(*own.values(), "__in").agg(*merged)
+    levelled = finest.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))).withColumn("__block", _shifted(F.col("__in"), F.col("__level")))
+    blocks = levelled.groupBy(*own.values(), "__level", "__block").agg(*merged)
+
+    spans = ranges.where(F.col(lo) <= F.col(hi)).select(*(F.col(k).alias(own[k]) for k in keys), F.col(lo).alias("__lo"), F.col(hi).alias("__hi")).distinct()
+    ends = {c: _axis(spans, c)[0] for c in ("__lo", "__hi")}
+    first, last = (_bucket_of(a, w) + _ORIGIN for a in ends.values())
+    whole = F.transform(dyadic_cover(first + 1, last), lambda x: F.struct(x["level"].alias("level"), x["block"].alias("block"), F.lit(0).cast("long").alias("at"), F.lit(0).alias("side")))
+    pieces = F.concat(whole, _ends(first, last, *(a + _AT for a in ends.values())))
+    asked = spans.withColumn("__x", F.explode(pieces)).select(*own.values(), "__lo", "__hi", *(F.col(f"__x.{c}").alias(f"__{c}") for c in _PIECE))
+
+    # Instants have a row for each way in which an end asks for its block.
+    used = asked.where(F.col("__level") < 0).agg(F.collect_set("__level")).scalar()
+    cells = instants.withColumn("__level", F.explode(used)).withColumn("__side", F.explode(F.array(F.lit(-1), F.lit(1))))
+    within = F.when(F.col("__level") == -1, F.col("__in")).otherwise(_shifted(F.col("__at"), -2 - F.col("__level")))
+    at_ends = asked.where(F.col("__level") < 0).select(*own.values(), *(f"__{c}" for c in _PIECE)).distinct().withColumn("__asked", F.lit(True))
+    rows = cells.withColumn("__block", within).drop("__in").unionByName(at_ends, allowMissingColumns=True)
+    up_to = Window.partitionBy(*own.values(), "__level", "__block", "__side").orderBy(F.col("__at") * F.col("__side"))
+    running = rows.select(*own.values(), *(f"__{c}" for c in _PIECE), "__asked", *(m(n).over(up_to).alias(n) for n, (_, m) in partials.items()))
+    running = running.where("__asked").drop("__asked")
+
+    held = running.unionByName(blocks.withColumns({"__at": F.lit(0).cast("long"), "__side": F.lit(0)}))
+    totals = asked.join(held, [*own.values(), *(f"__{c}" for c in _PIECE)]).groupBy(*own.values(), "__lo", "__hi").agg(*merged)
+    same = [F.col(k) == F.col(own[k]) for k in keys] + [F.col(lo) == F.col("__lo"), F.col(hi) == F.col("__hi")]
+    return ranges.join(totals, same, "left").select(*(F.col(c) for c in ranges.columns), *partials)

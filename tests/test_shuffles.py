@@ -7,6 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from raceline.functions.columns import exact_sum
 from raceline.operators import interval_join as ij
 from raceline.operators.incremental import anti_by_session
 from raceline.operators.ordered import blocked_running_max
@@ -120,3 +121,40 @@ def test_skip_of_loaded_sessions_shuffles_no_rows(spark):
     assert len(kept) == 6001 and {r["session_key"] for r in kept} == {0, 2, None}
     assert written < 1000, written
     assert anti_by_session(rows, None) is rows
+
+
+def joined_rows(df) -> tuple[list, int]:
+    """The rows of ``df`` and the most that a join of its plan made."""
+    rows = df.collect()
+
+    def most(plan) -> int:
+        made = plan.metrics().get("numOutputRows") if "Join" in plan.nodeName() else None
+        own = made.get().value() if made is not None and made.isDefined() else 0
+        return max([own, *(most(plan.children().apply(i)) for i in range(plan.children().size()))])
+
+    return rows, most(df._jdf.queryExecution().executedPlan())
+
+
+def test_range_ends_meet_no_instants_one_by_one(spark):
+    """Ends in a block of many instants: rows as many as ends, exact results."""
+    random.seed(7)
+    t0 = dt.datetime(1970, 1, 1) - dt.timedelta(seconds=40)  # before and after the epoch
+    points = [(random.choice([1, 2, None]), t0 + dt.timedelta(microseconds=random.randrange(0, 200_000_000)), random.choice([None, *map(float, range(90))])) for _ in range(3000)]
+    points += points[:20] + [(1, None, 5.0)]
+    spans = []
+    for i in range(400):
+        a = random.choice([p[1] for p in points[:2000]])
+        z = a + dt.timedelta(microseconds=random.choice([0, 0, 1, random.randrange(1 << random.randrange(1, 27)), random.randrange(200_000_000), -5]))
+        spans.append((i, random.choice([1, 2, 3, None]), a, z))
+    spans += [(400 + i, 1, *spans[0][2:]) for i in range(50)] + [(500, 1, None, t0), (501, 1, t0, None)]
+    ranges = spark.createDataFrame(spans, "i int, k int, lo timestamp, hi timestamp")
+    samples = spark.createDataFrame(points, "k int, date timestamp, v double")
+    partials = {"s": (exact_sum("v"), F.sum), "n": (F.count("v"), F.sum), "m": (F.max("v"), F.max)}
+    df = ij.range_aggregate(ranges, samples, ["k"], "date", "lo", "hi", 60, partials)
+    rows, most = with_conf(spark, PLAIN, lambda: joined_rows(df))
+    assert df.columns == ["i", "k", "lo", "hi", "s", "n", "m"] and len(rows) == len(spans)
+    for r in rows:
+        inside = [v for k, d, v in points if k is not None and k == r["k"] and d and r["lo"] and r["hi"] and r["lo"] <= d <= r["hi"]]
+        held = [v for v in inside if v is not None]
+        assert ((r["n"] or 0), r["m"], float(r["s"] or 0)) == (len(held), max(held, default=None), sum(held)), r
+    assert most <= 8 * len(spans), most
