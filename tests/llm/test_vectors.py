@@ -205,3 +205,27 @@ def test_queries(spark, sf):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = sorted((tuple(r) for r in queries.op10_embedding_near_dedup(spark, sf).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
     assert got == brute_links(rows)
+
+
+def test_walk_looks_at_the_best_of_each_beam_once(spark, monkeypatch):
+    monkeypatch.setattr(neighbour_graph, "STEP", 8)
+    looks = []
+
+    class Noted(neighbour_graph.Scratch):
+        def write(self, df, name):
+            out = super().write(df, name)
+            if name.startswith("walk"):
+                looks.append({r["query"]: (r["next"], dict(zip(r["ids"], zip(r["sims"], r["done"])))) for r in out.collect()})
+            return out
+
+    monkeypatch.setattr(neighbour_graph, "Scratch", Noted)
+    x = np.random.default_rng(3).standard_normal((700, 12))
+    rows = [(i, [float(v) for v in row], 0) for i, row in enumerate(x)]
+    got = neighbour_graph.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 100 == 0, top=5, k=12, beam=30).collect()
+    assert len(got) == 7 * 5 and len(looks) > 3 and not any(n for n, _ in looks[-1].values())
+    for query in looks[0]:
+        seen = [i for state in looks for i in state[query][0]]
+        assert len(seen) == len(set(seen)) and all(d for _, d in looks[-1][query][1].values())
+        for following, known in (state[query] for state in looks):
+            open_ = sorted(((s, i) for i, (s, d) in known.items() if not d), reverse=True)
+            assert following == [i for _, i in open_[:8]]
